@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sheafline.llm.line_dedup import dedup_lines
+from sheafline.llm.mixing import mix_sources
 from sheafline.llm.near_dedup import near_duplicates
+from sheafline.llm.packing import pack
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +21,21 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), buckets=16, budget=65536).select("doc_id", "n_tokens", "bucket", "padded", "rank", "batch")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_table(spark, sf_dir, "documents"), least_chars=20, least_docs=3)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"), weights=None).select("doc_id", "source", "lang", "text", "copy", "rate", "order_key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_near_duplicates": op2_near_duplicates}
+    return {f.__name__: f for f in (op2_near_duplicates, op3_length_buckets, op4_line_dedup, op5_poisson_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:
