@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafline.llm.common import fold
 from sheafline.llm.line_dedup import dedup_lines
 from sheafline.llm.mixing import mix_sources
 from sheafline.llm.near_dedup import near_duplicates
 from sheafline.llm.packing import pack
+from sheafline.llm.quality import fit, score_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +36,21 @@ def op5_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), weights=None).select("doc_id", "source", "lang", "text", "copy", "rate", "order_key")
 
 
+def op9_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_quality(docs.select("doc_id", "text"), fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold("doc_id") == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_near_duplicates, op3_length_buckets, op4_line_dedup, op5_poisson_mixture)}
+    ops = (op2_near_duplicates, op3_length_buckets, op4_line_dedup, op5_poisson_mixture, op9_neighbour_quality)
+    return {f.__name__: f for f in (*ops, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
