@@ -7,18 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafline.llm import language_id, quality
 from sheafline.llm.common import fold
+from sheafline.llm.fertility import fertility
 from sheafline.llm.line_dedup import dedup_lines
 from sheafline.llm.mixing import mix_sources
 from sheafline.llm.near_dedup import near_duplicates
 from sheafline.llm.packing import pack
-from sheafline.llm.quality import fit, score_quality
+from sheafline.llm.token_counts import token_counts
+from sheafline.llm.topk import exact_top_k
+from sheafline.llm.url_filter import RULES, judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility(_table(spark, sf_dir, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -36,12 +44,30 @@ def op5_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), weights=None).select("doc_id", "source", "lang", "text", "copy", "rate", "order_key")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs))
+    return found.select("doc_id", (fold("doc_id") == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", F.concat_ws("/", "template").alias("template"), "purity")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens")
+
+
 def op9_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    scored = score_quality(docs.select("doc_id", "text"), fit(docs, _table(spark, sf_dir, "labels")))
+    scored = quality.score_quality(docs.select("doc_id", "text"), quality.fit(docs, _table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (fold("doc_id") == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -49,7 +75,18 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op2_near_duplicates, op3_length_buckets, op4_line_dedup, op5_poisson_mixture, op9_neighbour_quality)
+    ops = (
+        op1_tokeniser_fertility,
+        op2_near_duplicates,
+        op3_length_buckets,
+        op4_line_dedup,
+        op5_poisson_mixture,
+        op6_language_id,
+        op7_url_templates,
+        op8_token_counts,
+        op9_neighbour_quality,
+        op10_top_k,
+    )
     return {f.__name__: f for f in (*ops, pipeline)}
 
 
