@@ -102,9 +102,13 @@ def _against_hubs(width: int, percent: int):
 
 
 def _within_blocks(width: int, percent: int):
-    """Rows (key, i, j, id, component, text) come sorted by group; a group is two blocks at most."""
+    """Rows (key, i, j, block, id, component, text, keys) come sorted by group; a group is two blocks at most.
 
-    def links(group: list[tuple[int, int, int, np.ndarray]], i: int, j: int) -> list[tuple[int, int]]:
+    ``keys`` are the buckets compared here that hold the document, one for each band at most: a pair
+    is compared in the least bucket that both share.
+    """
+
+    def links(group: list[tuple[int, int, int, np.ndarray, set[int]]], key: int, i: int, j: int) -> list[tuple[int, int]]:
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -114,9 +118,9 @@ def _within_blocks(width: int, percent: int):
             return x
 
         found = []
-        for n, (block, a, ca, sa) in enumerate(group):
-            for other, b, cb, sb in group[n + 1 :]:
-                if (i != j and block == other) or find(ca) == find(cb):
+        for n, (block, a, ca, sa, ka) in enumerate(group):
+            for other, b, cb, sb, kb in group[n + 1 :]:
+                if (i != j and block == other) or min(ka & kb) != key or find(ca) == find(cb):
                     continue
                 if _similar(sa, sb, percent):
                     found.append((a, b))
@@ -126,14 +130,14 @@ def _within_blocks(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
         for batch in slices(batches):
-            for key, i, j, block, d, component, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, i, j, block, d, component, text, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, i, j) != at:
                     if len(group) > 1:
-                        yield _links(links(group, at[1], at[2]))
+                        yield _links(links(group, *at))
                     at, group = (key, i, j), []
-                group.append((block, d, component, shingle_set(text, width)))
+                group.append((block, d, component, shingle_set(text, width), set(keys)))
         if len(group) > 1:
-            yield _links(links(group, at[1], at[2]))
+            yield _links(links(group, *at))
 
     return run
 
@@ -181,12 +185,23 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80, ban
     comp = stored(components(links, name="near"), "components")
 
     split = members.join(comp.withColumnsRenamed({"node": "cid", "component": "c"}), "cid", "left").select("key", "cid", F.coalesce("c", "cid").alias("c"))
-    left = split.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h")).where("c0 <> c1")
-    left = left.groupBy("h", "n").agg(F.min("key").alias("key"))  # equal buckets of different bands once
-    blocks = split.join(left.select("key", F.ceil(F.col("n") / BLOCK).alias("parts")), "key").withColumn("block", F.pmod(F.xxhash64("cid"), "parts"))
-    blocks = blocks.select("key", "block", F.col("cid").alias("id"), "c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
-    blocks = stored(blocks.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "c"), "blocks")
-    ready = blocks.join(_texts(docs, blocks), "id").select("key", "i", "j", "block", "id", "c", "text").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    shares = split.groupBy("key", "c").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h"))
+    left = shares.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("main"), F.sum("h").alias("h")).where("all > main.n")
+    left = left.groupBy("h", "all", "main").agg(F.min("key").alias("key"))  # equal buckets of different bands once
+    left = left.select("key", F.col("main.c").alias("main"), F.ceil(F.col("main.n") / BLOCK).alias("mains"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("others"))
+    # the largest component's members need not meet each other: they meet the blocks of all other members
+    blocks = split.join(left, "key").withColumn("in_main", F.col("c") == F.col("main")).withColumn("block", F.pmod(F.xxhash64("cid"), F.when(F.col("in_main"), F.col("mains")).otherwise(F.col("others"))))
+    keys = stored(blocks.groupBy(F.col("cid").alias("id")).agg(F.collect_set("key").alias("keys")), "keys")  # at most one for each band
+    none = F.array().cast("array<long>")
+    up_to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    met = F.concat(F.transform(up_to("others"), lambda j: F.struct(j.alias("with"), F.lit(False).alias("other_main"))), F.transform(F.when(F.col("in_main"), none).otherwise(up_to("mains")), lambda j: F.struct(j.alias("with"), F.lit(True).alias("other_main"))))
+    blocks = blocks.select("key", "in_main", "block", F.col("cid").alias("id"), "c", F.explode(met).alias("m"))
+    # a pair of blocks is named (i, j): i is never of the main component; j = -1 - block where it is
+    i = F.when(F.col("in_main"), F.col("m.with")).when(F.col("m.other_main"), F.col("block")).otherwise(F.least("block", "m.with"))
+    j = F.when(F.col("in_main"), -1 - F.col("block")).when(F.col("m.other_main"), -1 - F.col("m.with")).otherwise(F.greatest("block", "m.with"))
+    own = F.when(F.col("in_main"), -1 - F.col("block")).otherwise(F.col("block"))
+    blocks = stored(blocks.select("key", i.alias("i"), j.alias("j"), own.alias("block"), "id", "c"), "blocks")
+    ready = blocks.join(_texts(docs, keys).join(keys, "id"), "id").select("key", "i", "j", "block", "id", "c", "text", "keys").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     more = stored(ready.mapInArrow(_within_blocks(width, percent), "a long, b long"), "more")
     if more.limit(1).count():
         comp = stored(components(links.unionByName(more), name="near"), "components")

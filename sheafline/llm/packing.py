@@ -16,7 +16,7 @@ SPAN = 8192
 def token_length(text: str = "text") -> Column:
     """A tokenizer-free estimate of the whole text's tokens: a quarter of its code points, rounded up; null: 0.
 
-    Counting words by a pattern instead took over 700 CPU seconds a GB. Exact counts of a tokenizer
+    Counting words by a pattern instead took 164 s for 0.1 GB on the check's six cores. Exact counts of a tokenizer
     (``token_counts``) can be passed to :func:`pack` as a column.
     """
     return F.coalesce(F.ceil(F.char_length(F.col(text)) / 4), F.lit(0)).cast("long")
