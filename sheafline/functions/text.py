@@ -7,6 +7,7 @@ ends at any Unicode line boundary, as in Python's str methods; :func:`strip` and
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,6 +46,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` mentions it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def text(c: Column | str) -> Column:
     """The value as string, null as ''."""
     return F.coalesce(_col(c).cast("string"), F.lit(""))
@@ -56,8 +62,7 @@ def strip(c: Column | str) -> Column:
 
 def lines(c: Column | str) -> Column:
     """array<string>: the text's lines; no empty last one."""
-    parts = F.split(_col(c), LINE_END, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(_col(c), LINE_END, -1), lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts))
 
 
 def unix_lines(c: Column | str) -> Column:
@@ -88,21 +93,23 @@ def parse_decimal(c: Column | str) -> Column:
     A lone comma is the decimal mark; with both marks the last one is; parentheses do not negate.
     """
     token = F.regexp_replace(F.translate(F.regexp_extract(plain_cell(c), r"(?U)[+−-]?\d[\d\s.,'’]*", 0), "−", "-"), r"[ '’]", "")
-    last_comma = F.length(token) - F.length(F.substring_index(token, ",", -1))
-    last_point = F.length(token) - F.length(F.substring_index(token, ".", -1))
-    marks = F.when(F.contains(token, F.lit(",")) & F.contains(token, F.lit(".")), F.when(last_comma > last_point, F.translate(F.replace(token, F.lit("."), F.lit("")), ",", ".")).otherwise(F.replace(token, F.lit(","), F.lit(""))))
-    number = strip(F.coalesce(marks, F.translate(token, ",", ".")))
-    return F.when(number.rlike(r"^[+-]?\d+\.?\d*$"), number.try_cast("double"))
+
+    def number(t: Column) -> Column:
+        last = F.regexp_extract(t, r"([.,])[^.,]*$", 1)
+        both = F.when(last == ",", F.translate(F.replace(t, F.lit("."), F.lit("")), ",", ".")).otherwise(F.replace(t, F.lit(","), F.lit("")))
+        return strip(F.when(F.contains(t, F.lit(",")) & F.contains(t, F.lit(".")), both).otherwise(F.translate(t, ",", ".")))
+
+    return let(let(token, number), lambda n: F.when(n.rlike(r"^[+-]?\d+\.?\d*$"), n.try_cast("double")))
 
 
 def is_monetary(c: Column | str) -> Column:
-    v = strip(breaks_to_spaces(c))
-    return (v != "") & ~F.contains(v, F.lit("%")) & ~v.rlike(UNNAMED) & v.rlike(MONETARY.replace("(?iu)", "(?iuU)"))
+    money = MONETARY.replace("(?iu)", "(?iuU)")
+    return let(strip(breaks_to_spaces(c)), lambda v: (v != "") & ~F.contains(v, F.lit("%")) & ~v.rlike(UNNAMED) & v.rlike(money))
 
 
 def is_financial_label(c: Column | str) -> Column:
-    v = strip(F.regexp_replace(breaks_to_spaces(c), r"[*_`]+", ""))
-    return (v != "") & v.rlike(FINANCIAL_LABEL.replace("(?iu)", "(?iuU)"))
+    label = FINANCIAL_LABEL.replace("(?iu)", "(?iuU)")
+    return let(strip(F.regexp_replace(breaks_to_spaces(c), r"[*_`]+", "")), lambda v: (v != "") & v.rlike(label))
 
 
 def is_number_or_amount(c: Column | str) -> Column:
@@ -116,19 +123,20 @@ def is_percent(c: Column | str) -> Column:
 def parse_attributes(c: Column | str) -> Column:
     """map<string,string> of a ``k=v`` bag, keys in lower case; the last of equal keys wins."""
     found = F.regexp_extract_all(text(c), F.lit(ATTRIBUTE), F.lit(0))
-    pair = F.transform(found, lambda x: F.struct(F.lower(F.regexp_extract(x, ATTRIBUTE, 1)).alias("k"), F.concat(F.regexp_extract(x, ATTRIBUTE, 2), F.regexp_extract(x, ATTRIBUTE, 3), F.regexp_extract(x, ATTRIBUTE, 4)).alias("v")))
-    last = F.filter(pair, lambda p, i: ~F.exists(F.slice(pair, i + 2, F.size(pair)), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+    pairs = F.transform(found, lambda x: F.struct(F.lower(F.regexp_extract(x, ATTRIBUTE, 1)).alias("k"), F.concat(F.regexp_extract(x, ATTRIBUTE, 2), F.regexp_extract(x, ATTRIBUTE, 3), F.regexp_extract(x, ATTRIBUTE, 4)).alias("v")))
+    return let(pairs, lambda pair: F.map_from_entries(F.filter(pair, lambda p, i: ~F.exists(F.slice(pair, i + 2, F.size(pair)), lambda q: q["k"] == p["k"]))))
 
 
 def strip_outer_fence(c: Column | str) -> Column:
     """struct<value, removed>: without one enclosing code fence; the last line need only start like the first."""
-    body = F.regexp_replace(text(c), r"\A\n+|\n+\z", "")
-    all_lines = lines(body)
-    mark = F.regexp_extract(F.get(all_lines, F.lit(0)), FENCE, 1)
-    closes = (F.size(all_lines) >= 2) & (mark != "") & F.startswith(strip(F.element_at(all_lines, -1)), mark)
-    inner = F.regexp_replace(F.array_join(F.slice(all_lines, 2, F.greatest(F.size(all_lines) - 2, F.lit(0))), "\n"), r"\A\n+|\n+\z", "")
-    return F.struct(F.when(closes, inner).otherwise(body).alias("value"), F.coalesce(closes, F.lit(False)).alias("removed"))
+
+    def opened(body: Column, rows: Column) -> Column:
+        mark = F.regexp_extract(F.get(rows, F.lit(0)), FENCE, 1)
+        closes = (F.size(rows) >= 2) & (mark != "") & F.startswith(strip(F.element_at(rows, -1)), mark)
+        inner = F.regexp_replace(F.array_join(F.slice(rows, 2, F.greatest(F.size(rows) - 2, F.lit(0))), "\n"), r"\A\n+|\n+\z", "")
+        return let(F.coalesce(closes, F.lit(False)), lambda done: F.struct(F.when(done, inner).otherwise(body).alias("value"), done.alias("removed")))
+
+    return let(F.regexp_replace(text(c), r"\A\n+|\n+\z", ""), lambda body: let(F.when(body == "", F.array().cast("array<string>")).otherwise(lines(body)), lambda rows: opened(body, rows)))
 
 
 def strip_triple_backticks(c: Column | str) -> Column:
@@ -159,17 +167,32 @@ def strip_model_page_tokens(c: Column | str) -> Column:
 
 def sanitize_canonical(c: Column | str) -> Column:
     """struct<value, changes>: line ends, fence, page markers and token aliases made uniform."""
-    unix = unix_lines(text(c))
-    fenced = strip_outer_fence(unix)
-    kept = F.filter(lines(fenced["value"]), lambda x: ~x.rlike(MODEL_PAGE) & ~x.rlike(PAGE_MARKER))
-    dropped = F.size(lines(fenced["value"])) - F.size(kept)
-    joined = F.regexp_replace(F.array_join(kept, "\n"), r"\A\n+|\n+\z", "")
-    value = normalize_placeholders(joined)
-    for alias in ("[TRONQUÉ]", "[TRONQUEE]", "[TRONQUÉE]"):
-        value = F.replace(value, F.lit(alias), F.lit("[TRONQUE]"))
-    counts = {"line_endings": unix != text(c), "outer_fence": fenced["removed"], "model_page_markers": dropped, "token_aliases": value != joined}
+
+    def cleaned(fenced: Column, changed: Column) -> Column:
+        rows = lines(fenced["value"])
+        kept = F.filter(rows, lambda x: ~x.rlike(MODEL_PAGE) & ~x.rlike(PAGE_MARKER))
+        joined = F.regexp_replace(F.array_join(kept, "\n"), r"\A\n+|\n+\z", "")
+        return F.struct(joined.alias("joined"), (F.size(rows) - F.size(kept)).alias("dropped"), fenced["removed"].alias("fence"), changed.alias("ends"))
+
+    def aliased(v: Column) -> Column:
+        out = normalize_placeholders(v)
+        for alias in ("[TRONQUÉ]", "[TRONQUEE]", "[TRONQUÉE]"):
+            out = F.replace(out, F.lit(alias), F.lit("[TRONQUE]"))
+        return out
+
+    def reported(r: Column, value: Column) -> Column:
+        counts = {"line_endings": r["ends"], "outer_fence": r["fence"], "model_page_markers": r["dropped"], "token_aliases": value != r["joined"]}
+        return F.struct(value.alias("value"), counted(counts).alias("changes"))
+
+    raw = text(c)
+    done = let(unix_lines(raw), lambda unix: let(strip_outer_fence(unix), lambda f: cleaned(f, unix != raw)))
+    return let(done, lambda r: let(aliased(r["joined"]), lambda v: reported(r, v)))
+
+
+def counted(counts: dict[str, Column]) -> Column:
+    """map<string,int> of the counts (true is 1) that are not zero."""
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("int").alias("value")) for k, v in counts.items()])
-    return F.struct(value.alias("value"), F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0)).alias("changes"))
+    return F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0))
 
 
 @functools.lru_cache(maxsize=1)
@@ -179,10 +202,9 @@ def _alias_pairs() -> tuple[str, ...]:
 
 def normalize_section(c: Column | str) -> Column:
     """struct<section, valid>: aliases resolved; anything unknown is 'other'."""
-    raw = F.lower(strip(text(c)))
-    section = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for x in _alias_pairs()]), raw), raw)
-    valid = section.isin(SECTIONS)
-    return F.struct(F.when(valid, section).otherwise("other").alias("section"), valid.alias("valid"))
+    aliases = F.create_map(*[F.lit(x) for x in _alias_pairs()])
+    section = let(F.lower(strip(text(c))), lambda raw: F.coalesce(F.try_element_at(aliases, raw), raw))
+    return let(section, lambda s: F.struct(F.when(s.isin(SECTIONS), s).otherwise("other").alias("section"), s.isin(SECTIONS).alias("valid")))
 
 
 def normalize_source(c: Column | str) -> Column:
