@@ -44,7 +44,8 @@ def retry_after_seconds(header: Column, now: Column) -> Column:
     """Seconds of a Retry-After header: a number, or an HTTP date less ``now``; never negative, null if unreadable."""
     seconds = header.try_cast("double")
     at = F.try_to_timestamp(F.regexp_replace(F.trim(header), r"^[A-Za-z]+, | GMT$", ""), F.lit("d MMM yyyy HH:mm:ss"))
-    return F.greatest(F.lit(0.0), F.coalesce(seconds, (F.unix_timestamp(at) - F.unix_timestamp(now)).cast("double")))
+    wait = F.coalesce(seconds, (F.unix_timestamp(at) - F.unix_timestamp(now)).cast("double"))
+    return F.when(wait.isNotNull(), F.greatest(F.lit(0.0), wait))
 
 
 def profiles(stage: str, most: int = 4) -> list[tuple[int, str, int, int, int]]:
