@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ def _pieces(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    bytes_ = np.array([model.is_byte(i) or model.is_unknown(i) for i in range(model.get_piece_size())])
+    bytes_ = [model.is_byte(i) or model.is_unknown(i) for i in range(model.get_piece_size())]
     return model, bytes_
 
 
@@ -58,10 +59,9 @@ class _Words(dict):
             return
         model, is_byte = _pieces(self.pieces)
         plain = [w.decode("utf-8", "replace") for w in new]
-        ids = [np.array(x, np.int32) for x in model.encode(plain, num_threads=1)]
-        byte_level = _byte_bpe(self.ranks).encode_ordinary_batch([" " + w for w in plain], num_threads=1)
-        for w, p, i, b in zip(new, plain, ids, byte_level, strict=True):
-            self[w] = (i.tobytes(), len(i), int(is_byte[i].sum()), len(b), len(p))
+        ids, byte_level = model.encode(plain, num_threads=1), _byte_bpe(self.ranks).encode_ordinary
+        for w, p, i in zip(new, plain, ids, strict=True):
+            self[w] = (array("i", i).tobytes(), len(i), sum(map(is_byte.__getitem__, i)), len(byte_level(" " + p)), len(p))
 
 
 @functools.lru_cache(maxsize=2)
