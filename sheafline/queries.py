@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sheafline.functions import text as t
 from sheafline.functions.unicode import fuzzy_normalize_exact
-from sheafline.operators import findings, grammar, markdown, state, tables, transport
+from sheafline.operators import canonical, findings, grammar, markdown, state, tables, transport
 from sheafline.plans import corpora
 from sheafline.session import table
 
@@ -229,6 +229,22 @@ def markdown_sanitized(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(key.alias("doc_id"), (n("track_map_comments_removed") + n("grid_map_comments_removed")).alias("comments"), n("empty_sections_removed").alias("sections"))
 
 
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, count(*) AS k FROM lineitem GROUP BY 1)
+ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'degraded' WHEN doc_id % 5 = 0 THEN 'warning' ELSE 'complete' END AS status, CAST(k + 1 AS INTEGER) AS n_rows, CAST(2 * (k + 1) AS INTEGER) AS n_cells, true AS stable FROM n""")
+def canonical_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The historical grammar, rendered from orders: no closing tag where doc_id % 3 = 0, partial coverage where % 5 = 0. Normalised text must parse to itself."""
+    key = F.col("order_key")
+    rows = F.transform("items", lambda x: F.concat(F.lit("[[ROW kind=data]]\n1="), x["l_partkey"].cast("string"), F.lit("\n2="), corpora.comma(x["l_extendedprice"]), F.lit("\n[[/ROW]]")))
+    n = F.size("items").cast("string")
+    grid = F.concat(F.lit("[[GRID_AUDIT table_id=T1 rows_checked="), n, F.lit(" group_counts=none max_groups=2 support_at_max="), n, F.lit(" final_cols=2 decision=observed]]"))
+    head = F.lit("[[TABLE id=T1 section=line_items source=printed cols=2]]\n[[ROW kind=header]]\n1=REF\n2=MONTANT\n[[/ROW]]")
+    tail = F.concat(F.when(key % 3 == 0, "").otherwise("[[/TABLE]]\n"), F.lit("[[END_PAGE coverage="), F.when(key % 5 == 0, "partial").otherwise("complete"), F.lit("]]"))
+    text = F.concat_ws("\n", grid, head, F.array_join(rows, "\n"), tail)
+    first = canonical.parse_pages(corpora.order_lines(spark, sf).select(key.alias("doc_id"), F.lit(1).alias("page"), text.alias("canonical")))
+    again = canonical.parse_pages(first.select("doc_id", "page", F.col("normalized").alias("canonical"))).select("doc_id", F.col("normalized").alias("same"))
+    return first.join(again, "doc_id").select("doc_id", "status", "n_rows", "n_cells", (F.col("normalized") == F.col("same")).alias("stable"))
+
+
 # ---- findings -----------------------------------------------------------------------------------
 
 _KEYS = "orders"
