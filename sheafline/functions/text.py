@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # ---- fixed values of the formats handled here -------------------------------------------
 WS = r"[\s\u001c-\u001f]"
+#: The characters that WS matches.
+SPACES = "\t\n\u000b\f\r\u001c\u001d\u001e\u001f \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
 SECTIONS = ["issuer", "customer", "shipping", "document", "line_items", "taxes", "totals", "payment", "annotations", "legal", "other"]
 SOURCES = ["printed", "handwritten", "stamp"]
@@ -57,7 +59,7 @@ def text(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), rf"(?U)\A{WS}+|{WS}+\z", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def lines(c: Column | str) -> Column:
@@ -70,12 +72,13 @@ def unix_lines(c: Column | str) -> Column:
 
 
 def breaks_to_spaces(c: Column | str) -> Column:
-    return F.regexp_replace(text(c), r"(?i)<br\s*/?>", " ")
+    return let(text(c), lambda v: F.when(F.contains(v, F.lit("<")), F.regexp_replace(v, r"(?i)<br\s*/?>", " ")).otherwise(v))
 
 
 def plain_cell(c: Column | str) -> Column:
     """Line breaks to spaces, emphasis marks dropped, white space collapsed and trimmed."""
-    return strip(F.regexp_replace(F.regexp_replace(breaks_to_spaces(c), r"[*_`]", ""), rf"(?U){WS}+", " "))
+    spaced = F.translate(breaks_to_spaces(c), SPACES + "*_`", " " * len(SPACES))
+    return F.btrim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def fuzzy_normalize(c: Column | str) -> Column:
