@@ -117,14 +117,22 @@ def _within_blocks(width: int, percent: int):
                 x = root[x]
             return x
 
-        found = []
-        for n, (block, a, ca, sa, ka) in enumerate(group):
-            for other, b, cb, sb, kb in group[n + 1 :]:
+        # one pass over all shingles of the group gives a document's intersections with every later one
+        sizes = np.array([len(g[3]) for g in group])
+        ends = np.cumsum(sizes)
+        _, shingles = np.unique(np.concatenate([g[3] for g in group]), return_inverse=True)
+        own, found = np.zeros(shingles.max() + 1, bool), []
+        for n, (block, a, ca, _, ka) in enumerate(group[:-1]):
+            mine = shingles[ends[n] - sizes[n] : ends[n]]
+            own[mine] = True
+            both = np.add.reduceat(own[shingles[ends[n] :]].astype(np.int64), ends[n:-1] - ends[n])
+            own[mine] = False
+            near = np.flatnonzero(100 * both >= percent * (sizes[n] + sizes[n + 1 :] - both)) + n + 1
+            for other, b, cb, _, kb in (group[m] for m in near):
                 if (i != j and block == other) or min(ka & kb) != key or find(ca) == find(cb):
                     continue
-                if _similar(sa, sb, percent):
-                    found.append((a, b))
-                    root[find(ca)] = find(cb)
+                found.append((a, b))
+                root[find(ca)] = find(cb)
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
