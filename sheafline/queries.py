@@ -42,7 +42,7 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {ITEMS} SELECT l_orderkey AS doc_id, count(*) AS n_rows,
- sum(CASE WHEN abs(l_quantity * CAST(CAST(unit AS DECIMAL(18,2)) AS DOUBLE) - CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)) <= greatest(0.02, abs(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)) * 0.001) THEN 1 ELSE 0 END) AS n_fits
+ CAST(sum(CASE WHEN abs(l_quantity * CAST(CAST(unit AS DECIMAL(18,2)) AS DOUBLE) - CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)) <= greatest(0.02, abs(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)) * 0.001) THEN 1 ELSE 0 END) AS BIGINT) AS n_fits
  FROM items GROUP BY 1""")
 def arithmetic_fit_by_order(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: rendered invoices are parsed again and quantity times net price is held against the amount."""
