@@ -9,7 +9,7 @@ from sheafline.llm.common import stored
 from sheafline.llm.line_dedup import dedup_lines
 from sheafline.llm.mixing import mix_sources
 from sheafline.llm.near_dedup import near_duplicates
-from sheafline.llm.packing import pack
+from sheafline.llm.packing import counted, pack
 from sheafline.llm.quality import fit, score_quality
 
 #: A document stays if its quality score reaches this.
@@ -42,8 +42,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its length bucket and batch."""
-    return pack(docs, buckets=16, budget=65536).select("doc_id", "source", "n_tokens", "bucket", "padded", "rank", "batch")
+    """Every row with its exact token count, length bucket and batch."""
+    return pack(counted(docs.select("doc_id", "source", "text")), length=F.col("n_tokens"), buckets=16, budget=65536).select("doc_id", "source", "n_tokens", "bucket", "padded", "rank", "batch")
 
 
 STAGES = [

@@ -13,7 +13,7 @@ from sheafline.llm.fertility import fertility
 from sheafline.llm.line_dedup import dedup_lines
 from sheafline.llm.mixing import mix_sources
 from sheafline.llm.near_dedup import near_duplicates
-from sheafline.llm.packing import pack
+from sheafline.llm.packing import counted, pack
 from sheafline.llm.token_counts import token_counts
 from sheafline.llm.topk import exact_top_k
 from sheafline.llm.url_filter import RULES, judge_urls
@@ -32,7 +32,8 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(_table(spark, sf_dir, "documents"), buckets=16, budget=65536).select("doc_id", "n_tokens", "bucket", "padded", "rank", "batch")
+    docs = counted(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pack(docs, length=F.col("n_tokens"), buckets=16, budget=65536).select("doc_id", "n_tokens", "bucket", "padded", "rank", "batch")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

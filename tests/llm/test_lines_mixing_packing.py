@@ -88,3 +88,20 @@ def test_packing(odd_documents, no_documents, monkeypatch):
         fit = max(1, 1000 // max(1, own[0]["padded"]))
         assert all(r["n_tokens"] <= r["padded"] and r["batch"] == r["rank"] // fit for r in own)
     assert pack(no_documents).count() == 0
+
+
+def test_packing_by_exact_token_counts(spark, odd_documents):
+    import corpus_pipeline
+    from sheafline.llm.queries import op3_length_buckets
+    from sheafline.llm.token_counts import token_counts
+
+    sf = "/root/testdata/sf0.001"
+    for docs, got in ((spark.read.parquet(f"{sf}/documents.parquet"), op3_length_buckets(spark, sf)), (odd_documents, corpus_pipeline.packing(spark, odd_documents, sf))):
+        true = Counter((r["doc_id"], r["n_tokens"]) for r in token_counts(docs.select("doc_id", "text")).collect())
+        rows = got.collect()
+        assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == true
+        held = Counter()
+        for r in rows:
+            assert r["n_tokens"] <= r["padded"]
+            held[r["bucket"], r["batch"], r["padded"]] += 1
+        assert all(n == 1 or n * padded <= 65536 for (_, _, padded), n in held.items() if padded)
