@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Repetitions that one Poisson draw stands for at most; a larger rate is the sum of several independent draws.
+DRAW_RATE = 64.0
 #: Weighted sources up to which their rows (about 1.5 KB each) are broadcast.
 BROADCAST_SOURCES = 5000
 
@@ -29,19 +31,20 @@ def mix_sources(
     source: str = "source",
     doc_id: str = "doc_id",
     seed: str = "mix-1",
-    max_rate: float = 64.0,
+    max_rate: float | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Each document as often as a Poisson draw with its source's repetition rate says, globally shuffled.
 
     A source's rate is ``total * weight / rows``: ``weights`` (normalised over the sources
     present; None: all alike) say what share of the result each should make up, ``total``
-    (None: the number of rows) how many rows. Rates above ``max_rate`` repetitions are an
-    error of the target, so they are held at ``max_rate``. Sources without a weight have rate 0.
+    (None: the number of rows) how many rows. However few rows a source has, it reaches its share; only a
+    ``max_rate`` that the caller sets holds rates, and the result then falls short. Sources without a weight have rate 0.
 
     The count inverts the Poisson distribution: how many values of its distribution function
     do not exceed a uniform number hashed from id and seed, so the same seed gives the same
-    mixture on any cluster. The functions stand in one row for each weighted source; those rows
+    mixture on any cluster. A rate above DRAW_RATE is dealt evenly over ceil(rate / DRAW_RATE) draws, each with a
+    uniform number of its own, whose sum has the Poisson distribution of the whole rate. The functions stand in one row for each weighted source; those rows
     are broadcast up to BROADCAST_SOURCES of them and joined by a shuffle beyond.
 
     Adds rate (double), copy (int, from 0), order_key (double): rows come range-partitioned
@@ -58,18 +61,26 @@ def mix_sources(
         sizes = sizes.withColumn("_w", F.coalesce(F.try_element_at(share, F.col("_s")), F.lit(0.0)) if weights else F.lit(0.0))
     whole = sizes.agg(F.sum("_n"), F.sum("_w"), F.sum((F.col("_w") > 0).cast("int"))).first()
     target, weight, named = float(total if total is not None else whole[0] or 0), whole[1] or 1.0, whole[2] or 0
-    rate = F.least(F.lit(float(max_rate)), F.lit(target) * F.col("_w") / F.lit(float(weight)) / F.col("_n"))
+    rate = F.lit(target) * F.col("_w") / F.lit(float(weight)) / F.col("_n")
+    if max_rate is not None:
+        rate = F.least(F.lit(float(max_rate)), rate)
     rates = sizes.where("_w > 0").select("_s", rate.alias("rate"))
+    rates = rates.withColumn("_draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / DRAW_RATE)).cast("int"))
+    one = F.col("rate") / F.col("_draws")
     # distribution function, term by term: p(0) = exp(-rate), p(k) = p(k-1) * rate / k
-    k = F.sequence(F.lit(1), F.lit(poisson_terms(max_rate)))
-    start = F.struct(F.exp(-F.col("rate")).alias("p"), F.array(F.exp(-F.col("rate"))).alias("c"))
+    k = F.sequence(F.lit(1), F.lit(poisson_terms(DRAW_RATE)))
+    start = F.struct(F.exp(-one).alias("p"), F.array(F.exp(-one)).alias("c"))
     grown = F.aggregate(
-        k, start, lambda acc, i: F.struct((acc["p"] * F.col("rate") / i).alias("p"), F.concat(acc["c"], F.array(F.element_at(acc["c"], -1) + acc["p"] * F.col("rate") / i)).alias("c")), lambda acc: acc["c"]
+        k, start, lambda acc, i: F.struct((acc["p"] * one / i).alias("p"), F.concat(acc["c"], F.array(F.element_at(acc["c"], -1) + acc["p"] * one / i)).alias("c")), lambda acc: acc["c"]
     )
     rates = rates.withColumn("_cdf", grown)
-    drawn = docs.join(F.broadcast(rates) if named <= BROADCAST_SOURCES else rates, "_s").withColumn("_u", uniform(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), seed=seed))
-    drawn = drawn.withColumn("_k", F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))).where("_k > 0").drop("_cdf", "_u", "_s")
+    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    drawn = docs.join(F.broadcast(rates) if named <= BROADCAST_SOURCES else rates, "_s").withColumn("_u", uniform(key, seed=seed))
+    times = F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))
+    more = F.transform(F.sequence(F.lit(1), F.col("_draws") - 1), lambda j: uniform(key, j, seed=seed + "-draw"))
+    more = F.aggregate(more, F.lit(0), lambda n, u: n + F.size(F.filter("_cdf", lambda c: c <= u)))
+    drawn = drawn.withColumn("_k", F.when(F.col("_draws") > 1, times + more).otherwise(times)).where("_k > 0").drop("_cdf", "_draws", "_u", "_s")
     out = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))).drop("_k")
-    out = out.withColumn("order_key", uniform(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "copy", seed=seed + "-order"))
+    out = out.withColumn("order_key", uniform(key, "copy", seed=seed + "-order"))
     keys = ["order_key", doc_id, "copy"]
     return (out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)).sortWithinPartitions(*keys)

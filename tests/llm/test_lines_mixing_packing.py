@@ -51,6 +51,18 @@ def test_mixture_follows_the_distribution(spark):
     assert order == sorted(order)
 
 
+def test_mixture_of_a_source_of_few_rows(spark):
+    """Ten of 20,000 rows are to make up half of the result: 1,000 repetitions each."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 10, "few").otherwise("many").alias("source"))
+    got = mix_sources(docs)
+    times = {r["doc_id"]: r["n"] for r in got.where("source = 'few'").groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("copy").alias("d"), F.max("copy").alias("m")).where("n = d and m = n - 1").collect()}
+    assert len(times) == 10 and all(abs(n - 1_000) < 6 * math.sqrt(1_000) for n in times.values()) and len(set(times.values())) > 5
+    assert abs(sum(times.values()) - 10_000) < 500 and abs(got.count() - 20_000) < 1_000
+    assert got.where("source = 'few' and abs(rate - 1000) > 1e-6").count() == 0
+    held = mix_sources(docs, max_rate=64.0).where("source = 'few'").count()
+    assert abs(held - 640) < 6 * math.sqrt(640)
+
+
 def test_mixture_of_odd_rows(odd_documents, no_documents):
     got = mix_sources(odd_documents)
     assert set(odd_documents.columns) <= set(got.columns) and got.count() > 0
