@@ -33,31 +33,31 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
-def _levels(table: DataFrame, depth: int, fan: int, z: float) -> DataFrame:
+def _levels(table: DataFrame, depth: int, z: float) -> DataFrame:
     """Generalises segment after segment: gen (array<string>) is the template of ``segs``."""
     t = table.withColumn("gen", F.array().cast("array<string>"))
     for level in range(depth):
         at = t.withColumn("seg", F.try_element_at("segs", F.lit(level + 1)))
         kids = at.where("seg is not null").groupBy("host", "gen", "seg").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         labelled = F.col("bad") + F.col("good")
-        pool = kids.groupBy("host", "gen").agg(F.count("*").alias("_kids"), F.sum("bad").alias("_bad"), F.sum("good").alias("_good"))
+        pool = kids.groupBy("host", "gen").agg(F.sum("bad").alias("_bad"), F.sum("good").alias("_good"))
         kids = kids.join(pool, ["host", "gen"])
         rate = (F.col("_bad") + 0.5) / (F.col("_bad") + F.col("_good") + 1)
         off = F.abs(F.col("bad") - labelled * rate) / F.sqrt(labelled * rate * (1 - rate))
         similar = (labelled > 0) & (labelled < F.col("_bad") + F.col("_good")) & (off < z)
-        names = kids.select("host", "gen", "seg", F.when((F.col("_kids") > fan) | similar, "*").otherwise(F.col("seg")).alias("as"))
+        names = kids.select("host", "gen", "seg", F.when(similar, "*").otherwise(F.col("seg")).alias("as"))
         t = at.join(names, ["host", "gen", "seg"], "left").withColumn("gen", F.when(F.col("seg").isNull(), F.col("gen")).otherwise(F.concat("gen", F.array(F.coalesce("as", "seg"))))).drop("seg", "as")
         t = stored(t, "templates")
     return t
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], depth: int = 4, fan: int = 200, z: float = 1.96, smoothing: float = 4.0, reject: float = 0.9, url: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], depth: int = 4, z: float = 1.96, smoothing: float = 4.0, reject: float = 0.9, url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, template (array<string>), purity (double) and verdict ('allow' or 'block').
 
     A page that a rule fits gets the rule's verdict, and is a labelled page. Every host has a tree of
     path segments, ``depth`` deep (what lies deeper is one '**'): variable segments are '*' from the
-    start; a node's children become '*' if there are more than ``fan`` of them; a labelled child joins '*' too
-    if its share of blocked pages differs from its siblings' pool by less than ``z`` standard errors.
+    start; a labelled child of a node joins '*' if its share of blocked pages differs from its siblings' pool by less
+    than ``z`` standard errors. How many children a node has changes no verdict; a wide node costs rows only.
     A template is rejected if (blocked + smoothing * prior) / (labelled + smoothing) >= ``reject``, prior being the
     share of blocked among all labelled pages; without labelled pages of its own it is allowed.
 
@@ -73,7 +73,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], depth: int =
     segments = F.transform(F.filter(F.split("path", "/", -1), lambda s: s != ""), lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
     rows = rows.withColumn("_segs", F.when(F.size(segments) > depth, F.concat(F.slice(segments, 1, depth), F.array(F.lit("**")))).otherwise(segments))
     table = rows.groupBy("host", F.col("_segs").alias("segs")).agg(F.count_if(F.col("_ruled") == "block").alias("bad"), F.count_if(F.col("_ruled") == "allow").alias("good"))
-    tree = _levels(stored(table, "raw-templates"), depth + 1, fan, z)
+    tree = _levels(stored(table, "raw-templates"), depth + 1, z)
     total = tree.agg(F.sum("bad"), F.sum("good")).first()
     prior = (total[0] or 0) / max(1, (total[0] or 0) + (total[1] or 0))
     sums = tree.groupBy("host", "gen").agg(F.sum("bad").alias("_b"), F.sum("good").alias("_g"))

@@ -30,6 +30,15 @@ def test_templates_learn_from_labelled_pages(spark):
     assert ("a", "block", True) in seen and ("b", "allow", True) in seen and ("a", "allow", True) not in seen and ("b", "block", True) not in seen
 
 
+def test_width_of_a_node_changes_no_verdict(spark):
+    """A host with two blocked sections beside 150 or 400 sections without labels: only the blocked ones are blocked."""
+    names = ["".join("abcdefghij"[int(c)] for c in str(i)) for i in range(1000, 1400)]
+    for width in (150, 400):
+        urls = [f"https://w.example.com/{s}/{page}" for s in ("de", "xx") for page in ("a", "b") for _ in range(50)] + [f"https://w.example.com/{s}/{page}" for s in names[:width] for page in ("a", "b")]
+        got = judge_urls(spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], URLS), [*RULES, ("block", "example.com", "/xx/")]).collect()
+        assert {r["path"].split("/")[1] for r in got if r["verdict"] == "block"} == {"de", "xx"} and len(got) == len(urls)
+
+
 def brute(rows, k, every):
     fine = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out, done = [], set()
