@@ -17,21 +17,63 @@ from pyspark.sql import functions as F
 STEP_BYTES = 2_000_000
 
 
+#: Application id -> the folder of a local session that names none (tests), and the tables that it holds or that were written for it.
+_LOCAL: dict[str, str] = {}
+_TABLES: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a session in local mode may leave it unset: it gets a temporary folder, one for each application."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if not found and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="sheafline-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="sheafline-")
+        found = _LOCAL[context.applicationId]
     return found.rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
+    """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors. :func:`discard` and :func:`clean_up` delete it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of :func:`stored` that nothing reads any more; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            _TABLES[df.sparkSession.sparkContext.applicationId].remove(path)
+            _delete(df.sparkSession, path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Deletes what this application's operators still hold in the shared folder, once its results have been written. How many tables that were."""
+    paths = _TABLES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
+def join_with_hot(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> DataFrame:
+    """An inner join where ``hot`` marks those rows of ``right`` that may meet a great part of ``left``: they are broadcast, so
+    no task gathers a hot key; the others are joined as Spark sees fit. The caller's condition bounds the hot rows, such as "a thousandth of all rows or more".
+    Keys are not null; ``right`` has each key once.
+    """
+    heavy = F.broadcast(right.where(hot))
+    return left.join(heavy, on).unionByName(left.join(F.broadcast(right.where(hot).select(*on)), on, "left_anti").join(right.where(~hot), on))
 
 
 def fold(doc_id: str | Column = "doc_id", parts: int = 4) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import stored
+from sheafline.llm.common import discard, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
         # small star: smaller neighbours and the node itself move to the least smaller neighbour
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x")).select("x.*")
-        e = stored(small.where("u <> v").distinct(), f"{name}-edges")
+        e, last = stored(small.where("u <> v").distinct(), f"{name}-edges"), e
+        discard(last)
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == before:
             break
