@@ -114,18 +114,18 @@ def _against_hubs(width: int, percent: int):
     return run
 
 
-_DIFFERENCES = "hub long, id long, n long, d array<long>"
+_DIFFERENCES = "hub long, id long, n long, hub_n long, d array<long>"
 
 
 def _differences(width: int):
-    """(hub, id, size of the set, the shingles that only one of document and hub has)."""
+    """(hub, id, sizes of the document's and the hub's set, the shingles that only one of them has)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _members_with_hub(batches, width):
-            apart = [np.setxor1d(own, min(sets, key=set_digest), assume_unique=True).view(np.int64) for _, sets, _, own in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([len(r[3]) for r in rows], pa.int64()), pa.array(apart, pa.list_(pa.int64()))], ["hub", "id", "n", "d"]
-            )
+            base = [min(sets, key=set_digest) for _, sets, _, _ in rows]
+            apart = [np.setxor1d(r[3], x, assume_unique=True).view(np.int64) for r, x in zip(rows, base, strict=True)]
+            longs = [[r[0] for r in rows], [r[2] for r in rows], [len(r[3]) for r in rows], list(map(len, base))]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in longs), pa.array(apart, pa.list_(pa.int64()))], ["hub", "id", "n", "hub_n", "d"])
 
     return run
 
@@ -213,11 +213,13 @@ def _beyond_hubs(docs: DataFrame, members: DataFrame, comp: DataFrame, width: in
     d = _dealt_to_hubs(docs, open_.select("hub", "id")).mapInArrow(_differences(width), _DIFFERENCES)
     d = d.withColumn("g", (100 + percent) * F.size("d") - (100 - percent) * F.col("n"))
     d = stored(d.join(open_, ["hub", "id"]), "differences")
-    least = d.groupBy("hub").agg(F.min("g").alias("any"), F.min(F.when(F.col("apart"), F.col("g"))).alias("least"))
-    other = F.when(F.col("apart"), F.col("any")).otherwise(F.col("least"))  # one of two must be apart from the hub
+    # how many differences a partner must share: x, apart from the hub, has g(x) > (100 - percent) |hub|; a partner y of
+    # whichever kind has g(y) >= 2 percent |dy| - (100 - percent) |hub|, and at least as many differences as are shared
     spare = F.floor(F.col("n") * (100 - percent) / percent + 1e-9)
-    need = F.greatest(F.lit(1), F.size("d") - spare, F.ceil((F.col("g") + other) / (2.0 * (100 + percent)) - 1e-9)).cast("int")
-    open_ = d.join(least, "hub").select("hub", "id", "apart", need.alias("need"), "d").where(F.size("d") >= F.col("need"))
+    base = (100 - percent) * F.col("hub_n")
+    shared = F.when(F.col("apart"), (F.col("g") - base) / 200.0).otherwise((F.col("g") + base) / (2.0 * (100 + percent)))
+    need = F.greatest(F.lit(1), F.size("d") - spare, F.ceil(shared - 1e-9)).cast("int")
+    open_ = d.select("hub", "id", "apart", need.alias("need"), "d").where(F.size("d") >= F.col("need"))
     one = open_.select("hub", "id", "apart", "need", F.explode("d").alias("e"))
     often = one.groupBy("hub", "e").agg(F.count("*").alias("n"), F.max("apart").alias("any")).where("n > 1 and any").select("hub", "e", "n")
     held = F.sort_array(F.collect_list(F.struct("n", "e")))  # within one document's differences

@@ -79,3 +79,25 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bucket_of_many_dissimilar_members(spark):
+    """3,000 documents share a passage of 60 words and differ in 30 more: most stay apart, a few pairs are linked, no hub links them."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(3000):
+        own = [f"o{rng.randrange(4000)}" for _ in range(30)]
+        rows.append((i, " ".join(passage + own)))
+        if i % 300 == 7:  # the same document with two other words, also far from everybody else
+            rows.append((10_000 + i, " ".join([*passage, "x", "y", *own[2:]])))
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()}
+    linked = {i: i - 10_000 for i, _ in rows if i >= 10_000}
+    assert len(linked) == 10 and got == {i: linked.get(i, i) for i, _ in rows}
+
+
+def test_repeated_ids_of_different_texts(spark):
+    base = [f"w{i}" for i in range(50)]
+    rows = [(1, " ".join(base)), (1, "quite another text of ten words in one line here"), (2, " ".join([*base[:-1], "z"])), (3, "quite another text of ten words in one line here now")]
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
