@@ -64,6 +64,21 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5, 10)
 
 
+def test_top_k_of_huge_components_and_repeated_ids(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * scale]) for i, scale in enumerate([1.0] * 20 + [3e7] * 20 + [1e16] * 10 + [1e200] * 3 + [1e-3] * 7)]
+    rows += [(10, [9.0, 9.0, 9.0, 9.0]), (20, rows[20][1]), (30, []), (31, []), (32, [1e16] * 4), (40, [float("inf")] * 4), (50, [1.0, None, 2.0, 3.0])]
+    got = sorted(tuple(r) for r in exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, every=10, pivots=5).collect())
+    held = lambda x: max(-(2**63), min(2**63 - 1, x))
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if all(x is not None and math.isfinite(256 * x) for x in v)]
+    expected = []
+    for q in sorted({i for i, _ in fine if i % 10 == 0}):
+        a = min(([float(x) for x in v], v) for i, v in fine if i == q)[1]
+        scores = sorted((-held(sum(x * y for x, y in zip(a, b, strict=True))), i) for i, b in fine if i != q and len(b) == len(a))
+        expected += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:5], 1)]
+    assert got == sorted(expected) and any(abs(s) > 2**62 for *_, s in got)
+
+
 def test_top_k_of_few(spark):
     schema = "vec_id long, embedding array<float>, score long"
     two = spark.createDataFrame([(0, [1.0, 0.5], 9), (7, [0.25, 2.0], 9)], schema)
