@@ -102,14 +102,16 @@ ORACLE = {
  j AS (SELECT k.*, coalesce(doc_id < last, false) AS gone FROM k LEFT JOIN f USING (key))
  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM j GROUP BY doc_id""",
     "op5_poisson_mixture": f"""WITH RECURSIVE n AS (SELECT coalesce(source, '') AS s, count(*) AS k FROM documents GROUP BY 1),
- r AS (SELECT s, least(64.0, CAST((SELECT sum(k) FROM n) AS DOUBLE) * 1.0 / CAST((SELECT count(*) FROM n) AS DOUBLE) / k) AS rate FROM n),
- c(s, rate, i, p, c) AS (SELECT s, rate, 0, exp(-rate), exp(-rate) FROM r UNION ALL SELECT s, rate, i + 1, p * rate / (i + 1), c + p * rate / (i + 1) FROM c WHERE i < 161),
- d AS (SELECT *, {_UNIFORM.format("doc_id || ':mix-1'")} AS u FROM documents),
- m AS (SELECT d.doc_id, any_value(rate) AS rate, count(*) FILTER (WHERE c.c <= u) AS k FROM d JOIN c ON coalesce(d.source, '') = c.s GROUP BY d.doc_id),
+ q AS (SELECT s, CAST((SELECT sum(k) FROM n) AS DOUBLE) * 1.0 / CAST((SELECT count(*) FROM n) AS DOUBLE) / k AS rate FROM n),
+ r AS (SELECT s, rate, greatest(1, CAST(ceil(rate / 64.0) AS BIGINT)) AS draws FROM q),
+ c(s, one, i, p, c) AS (SELECT s, rate / draws, 0, exp(-(rate / draws)), exp(-(rate / draws)) FROM r UNION ALL SELECT s, one, i + 1, p * one / (i + 1), c + p * one / (i + 1) FROM c WHERE i < 161),
+ d AS (SELECT doc_id, s, rate, unnest(range(draws)) AS j FROM documents JOIN r ON coalesce(source, '') = s),
+ u AS (SELECT *, CASE WHEN j = 0 THEN {_UNIFORM.format("doc_id || ':mix-1'")} ELSE {_UNIFORM.format("doc_id || ':' || j || ':mix-1-draw'")} END AS u FROM d),
+ m AS (SELECT u.doc_id, any_value(u.rate) AS rate, count(*) FILTER (WHERE c.c <= u.u) AS k FROM u JOIN c USING (s) GROUP BY u.doc_id),
  e AS (SELECT doc_id, rate, CAST(unnest(range(k)) AS INTEGER) AS copy FROM m WHERE k > 0)
  SELECT doc_id, source, lang, text, copy, rate, {_UNIFORM.format("doc_id || ':' || copy || ':mix-1-order'")} AS order_key FROM e JOIN documents USING (doc_id)""",
     "op10_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
  s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
  k AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
  SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5""",
