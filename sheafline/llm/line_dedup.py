@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.llm.common import join_with_hot, stored
+
 #: White space that is stripped from a line's ends: tab, line feed, vertical tab, form feed, return, space.
 BLANKS = " \t\n\u000b\f\r"
 
@@ -28,11 +30,11 @@ def dedup_lines(documents: DataFrame, least_chars: int = 20, least_docs: int = 3
     stands in at least ``least_docs`` documents stays only in the largest id that holds it.
     Other lines stay and are joined by \\n in their order.
 
-    Lines become 16-byte hashes before anything is shuffled. Documents per hash are counted
+    Lines become 16-byte hashes, written once with their positions before anything is shuffled. Documents per hash are counted
     by two map-side combined aggregations (first a row for each hash and document), so no
-    hash brings its documents together; the frequent hashes are joined back to their
-    positions, a join whose hot keys adaptive execution splits; texts move once, and the
-    kept stretches between dropped positions are put together again in order.
+    hash brings its documents together; frequent hashes are joined back to their positions, by a broadcast where
+    they hold a thousandth of all such lines or more (so at most 1000 hashes); texts move once, and the
+    kept stretches between dropped positions are put together again in order. Very long texts are split whole in their own row.
 
     Null texts give '' and count as one empty line. Rows with a null id keep all lines.
     Rows that share an id count as one document, and lose or keep a line together. Extra
@@ -41,9 +43,10 @@ def dedup_lines(documents: DataFrame, least_chars: int = 20, least_docs: int = 3
     docs = documents.withColumn(text, F.coalesce(F.col(text).cast("string"), F.lit("")))
     own, whole = F.col(doc_id), F.col(text)
     seen = docs.where(own.isNotNull()).select(own.alias("_d"), F.xxhash64(whole).alias("_t"), F.posexplode(_hashed(whole, least_chars)).alias("_pos", "_h")).where("_h is not null")
-    seen = seen.select("_d", "_t", "_pos", F.col("_h.a").alias("_a"), F.col("_h.b").alias("_b"))
-    frequent = seen.select("_d", "_a", "_b").distinct().groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.max("_d").alias("_last")).where(F.col("_n") >= least_docs).select("_a", "_b", "_last")
-    dropped = seen.join(frequent, ["_a", "_b"]).where("_d < _last")
+    seen = stored(seen.select("_d", "_t", "_pos", F.col("_h.a").alias("_a"), F.col("_h.b").alias("_b")), "lines")
+    frequent = seen.select("_d", "_a", "_b").distinct().groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.max("_d").alias("_last")).where(F.col("_n") >= least_docs)
+    frequent = stored(frequent, "frequent-lines")
+    dropped = join_with_hot(seen, frequent, ["_a", "_b"], F.col("_n") * 1000 >= seen.count()).where("_d < _last")
     dropped = dropped.groupBy("_d", "_t").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))  # at most the lines of one document
     out = docs.withColumn("_text", whole).join(dropped, (own == F.col("_d")) & (F.xxhash64(whole) == F.col("_t")), "left").drop("_d", "_t")
     lines, gone = F.split(F.col("_text"), "\n", -1), F.coalesce("_gone", F.array().cast("array<int>"))
