@@ -1,4 +1,4 @@
-"""Text quality by nearest-neighbour voting over latent-semantic vectors of word shapes."""
+"""Text quality by nearest-neighbour voting over latent-semantic vectors of words and word shapes."""
 
 from __future__ import annotations
 
@@ -19,32 +19,32 @@ SHAPES = bytes(32 if c in b" \t\n\r\x0b\x0c" else 97 if 97 <= c <= 122 or c >= 1
 _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 
 
-class _Shapes(dict):
-    """Hash of a word's shape with runs collapsed; at most 200,000 are remembered."""
+class _Words(dict):
+    """Hashes of a word: of its shape with runs collapsed, and of its lower-cased letters; at most 200,000 are remembered."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> tuple[int, int]:
         if len(self) > 200_000:
             self.clear()
-        found = self[word] = zlib.crc32(_RUNS.sub(rb"\1", word)[:12])
+        found = self[word] = zlib.crc32(_RUNS.sub(rb"\1", word.translate(SHAPES))), zlib.crc32(word.lower())
         return found
 
 
-def term_counts(text: bytes | None, terms: int, cache: dict[bytes, int]) -> np.ndarray:
-    """Hashed counts of word shapes, of pairs of neighbouring shapes, and of words that repeat the one before."""
-    if not text:
-        return np.zeros(terms)
-    shapes = text.translate(SHAPES).split()
-    one = np.fromiter(map(cache.__getitem__, shapes), np.uint64, len(shapes))
-    pairs = mix(one[:-1] * np.uint64(31) + one[1:])
-    out = np.bincount((mix(one) % np.uint64(terms)).astype(np.int64), minlength=terms) + np.bincount((pairs % np.uint64(terms)).astype(np.int64), minlength=terms)
-    words = text.lower().split()
-    out[zlib.crc32(b"repeats") % terms] += sum(map(bytes.__eq__, words, words[1:]))
-    return out.astype(np.float64)
+def term_counts(text: bytes | None, terms: int, cache: dict[bytes, tuple[int, int]]) -> np.ndarray:
+    """``terms`` hashed counts of word shapes, of pairs of neighbouring shapes and of words that repeat the one before; then ``terms`` of whole words."""
+    words = text.split() if text else []
+    if not words:
+        return np.zeros(2 * terms)
+    shape, word = np.array([cache[w] for w in words], np.uint64).T
+    pairs = mix(shape[:-1] * np.uint64(31) + shape[1:])
+    binned = lambda h: np.bincount((h % np.uint64(terms)).astype(np.int64), minlength=terms)
+    shapes = binned(mix(shape)) + binned(pairs)
+    shapes[zlib.crc32(b"repeats") % terms] += int((word[:-1] == word[1:]).sum())
+    return np.concatenate([shapes, binned(mix(word))]).astype(np.float64)
 
 
 def _counted(terms: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Shapes()
+        cache = _Words()
         for batch in slices(batches):
             rows = [term_counts(x, terms, cache).astype(np.float32) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(1)], ["counts", "label"])
@@ -65,9 +65,14 @@ class QualityModel:
     power: float
     rest: float
 
+    def weighted(self, counts: np.ndarray) -> np.ndarray:
+        """Square roots of shares, of shapes and of words each, times the inverse document frequency; unit length."""
+        halves = [h / np.maximum(1.0, h.sum(axis=1, keepdims=True)) for h in np.hsplit(counts, 2)]
+        a = np.sqrt(np.hstack(halves)) * self.idf
+        return a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        a = np.sqrt(counts / np.maximum(1.0, counts.sum(axis=1, keepdims=True))) * self.idf
-        z = (a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)) @ self.axes
+        z = self.weighted(counts) @ self.axes
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
@@ -88,7 +93,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int
     """Learns from labelled rows outside the held-out fold (crc32 of the id mod 4 is 2).
 
     About ``sample`` labelled rows at most, chosen by hashed id, are used; their term
-    counts (terms * 4 bytes each) are all that reaches the driver.
+    counts (2 * terms * 4 bytes each) are all that reaches the driver.
     """
     known = labels.where((fold("doc_id") != 2) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
     share = min(1.0, sample / max(1, known.count()))
@@ -96,12 +101,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("double").alias("label"))
     seen = rows.mapInArrow(_counted(terms), "counts binary, label double").collect()
     if not seen:
-        return QualityModel(np.ones(terms), np.zeros((terms, 1)), np.empty((0, 1)), np.empty(0), 1.0, neighbours, power, rest)
+        return QualityModel(np.ones(2 * terms), np.zeros((2 * terms, 1)), np.empty((0, 1)), np.empty(0), 1.0, neighbours, power, rest)
     seen.sort(key=lambda r: (bytes(r["counts"]), r["label"]))  # the same model whatever order rows come in
     x, y = np.array([np.frombuffer(r["counts"], np.float32) for r in seen], np.float64), np.array([r["label"] for r in seen])
-    model = QualityModel(np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1, np.eye(terms), np.empty(0), y, float(y.mean()), neighbours, power, rest)
-    a = np.sqrt(x / np.maximum(1.0, x.sum(axis=1, keepdims=True))) * model.idf
-    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    model = QualityModel(np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1, np.empty(0), np.empty(0), y, float(y.mean()), neighbours, power, rest)
+    a = model.weighted(x)
     model.axes = np.linalg.eigh(a.T @ a)[1][:, ::-1][:, :dims].copy()
     model.vectors = model.latent(x)
     return model
@@ -110,15 +114,15 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int
 def score_quality(documents: DataFrame, model: QualityModel, terms: int = 1024) -> DataFrame:
     """``documents`` with a score column (double, 0 to 1; higher: label 1 likelier).
 
-    Every whole text is scored. Null, empty and wordless texts have no neighbours and get
+    A text's vector lies in the space of the labelled texts' strongest axes; its terms are hashed whole words and word shapes. Every whole text is scored. Null, empty and wordless texts have no neighbours and get
     the share of label 1 among the labels; without any label every score is 1. Repeated
-    rows score alike. Other columns pass through; a column named score is replaced.
+    rows score alike; very long texts are counted whole; an empty table gives no rows. Other columns pass through; a column named score is replaced.
     """
     spark, kept = documents.sparkSession, [c for c in documents.columns if c != "score"]
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Shapes()
+        cache = _Words()
         for batch in slices(batches, "_bytes"):
             at = batch.schema.get_field_index("_bytes")
             counts = np.array([term_counts(x, terms, cache) for x in batch.column(at).to_pylist()])
