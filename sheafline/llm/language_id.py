@@ -3,33 +3,44 @@
 from __future__ import annotations
 
 import functools
-import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm.common import fold, slices, text_bytes
 from sheafline.llm.pieces import MARK, PIECE_MODEL, vocabulary
 
-#: Runs of letters; digits, marks and punctuation tell no language.
-LETTERS = re.compile(r"[^\W\d_]+")
-#: Longer runs of letters are cut into stretches of this many, which segmentations do not cross.
-STRETCH = 64
+#: Runs of letters (Unicode category L); digits, numerals, marks and punctuation tell no language.
+LETTERS = regex.compile(r"\p{L}+")
 #: Words that a worker remembers.
 REMEMBERED = 400_000
+#: Positions of words whose lattices are worked on at a time; a longer word forms a step of its own.
+CELLS = 200_000
+#: Parts into which each power of two of document hashes is cut where documents are sampled.
+PARTS = 16
 
 
 def letter_words(text: str) -> list[str]:
-    """Marked lower-case stretches of letters."""
-    out = []
-    for w in LETTERS.findall(text.lower()):
-        out += [MARK + w] if len(w) <= STRETCH else [(MARK if i == 0 else "") + w[i : i + STRETCH] for i in range(0, len(w), STRETCH)]
-    return out
+    """Marked lower-case runs of letters."""
+    return [MARK + w for w in LETTERS.findall(text.lower())]
+
+
+def steps(words: list[str]) -> Iterator[np.ndarray]:
+    """Numbers of words of similar lengths whose lattices together have about CELLS positions."""
+    sizes = np.array([len(w) + 1 for w in words])
+    order, start = np.argsort(sizes, kind="stable"), 0
+    while start < len(order):
+        stop = start + 1
+        while stop < len(order) and (stop + 1 - start) * sizes[order[stop]] <= CELLS:
+            stop += 1
+        yield order[start:stop]
+        start = stop
 
 
 @functools.lru_cache(maxsize=2)
@@ -44,21 +55,25 @@ def _automaton(path: str):
     return found, frozenset(p for p in pieces if len(p) == 1), len(pieces)
 
 
+def _log_sums(rows: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each distinct number in ``rows`` (sorted) and, per column, the log of the sum of exp over its rows of ``x``."""
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    top = np.maximum.reduceat(x, first, axis=0)
+    top = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        total = np.log(np.add.reduceat(np.exp(x - np.repeat(top, np.diff(np.r_[first, len(rows)]), axis=0)), first, axis=0))
+    return rows[first], top + total
+
+
 @dataclass
 class Lattice:
-    """All piece matches of many words, ordered by end: (word, start, end, piece). Piece V stands for any unknown character."""
+    """All piece matches of many words: (word, start, end, piece). Piece V stands for any unknown character. Sums run over logarithms, so no length underflows."""
 
     lengths: np.ndarray
     word: np.ndarray
     start: np.ndarray
     end: np.ndarray
     piece: np.ndarray
-    cuts: np.ndarray = field(init=False)
-
-    def __post_init__(self) -> None:
-        order = np.argsort(self.end, kind="stable")
-        self.word, self.start, self.end, self.piece = (x[order] for x in (self.word, self.start, self.end, self.piece))
-        self.cuts = np.searchsorted(self.end, np.arange(1, (self.lengths.max() if len(self.lengths) else 0) + 2))
 
     @classmethod
     def of(cls, words: list[str], path: str) -> Lattice:
@@ -76,28 +91,40 @@ class Lattice:
         e = np.array(end, np.int64)
         return cls(np.array([len(w) for w in words], np.int64), np.array(word, np.int64), e - np.array(start, np.int64), e, np.array(piece, np.int64))
 
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """alpha[word, position, language]: the probability of all segmentations up to a position."""
-        top = int(self.lengths.max(initial=0))
-        alpha = np.zeros((len(self.lengths), top + 1, p.shape[1]))
-        alpha[:, 0] = 1
-        for k in range(1, top + 1):
-            at = slice(self.cuts[k - 1], self.cuts[k])
-            np.add.at(alpha[:, k], self.word[at], alpha[self.word[at], self.start[at]] * p[self.piece[at]])
+    def _by(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Matches ordered by a position, then by word; where each position's begin."""
+        order = np.lexsort((self.word, at))
+        return order, np.searchsorted(at[order], np.arange(self.lengths.max(initial=0) + 2))
+
+    def forward(self, logp: np.ndarray) -> np.ndarray:
+        """alpha[word, position, language]: log of the probability of all segmentations up to a position."""
+        order, cuts = self._by(self.end)
+        alpha = np.full((len(self.lengths), int(self.lengths.max(initial=0)) + 1, logp.shape[1]), -np.inf)
+        alpha[:, 0] = 0
+        for k in range(1, alpha.shape[1]):
+            at = order[cuts[k] : cuts[k + 1]]
+            if len(at):
+                words, sums = _log_sums(self.word[at], alpha[self.word[at], self.start[at]] + logp[self.piece[at]])
+                alpha[words, k] = sums
         return alpha
 
-    def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def whole(self, alpha: np.ndarray) -> np.ndarray:
+        return alpha[np.arange(len(self.lengths)), self.lengths]
+
+    def expected(self, logp: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected number of each piece per language, summed over the words with their counts (words x languages)."""
-        alpha = self.forward(p)
-        beta = np.zeros_like(alpha)
-        beta[np.arange(len(self.lengths)), self.lengths] = 1
-        for k in range(alpha.shape[1] - 1, 0, -1):
-            at = slice(self.cuts[k - 1], self.cuts[k])
-            np.add.at(beta, (self.word[at], self.start[at]), beta[self.word[at], k] * p[self.piece[at]])
-        whole = alpha[np.arange(len(self.lengths)), self.lengths]
-        share = alpha[self.word, self.start] * p[self.piece] * beta[self.word, self.end] * (counts / np.maximum(whole, 1e-300))[self.word]
-        out = np.zeros_like(p)
-        np.add.at(out, self.piece, share)
+        alpha = self.forward(logp)
+        order, cuts = self._by(self.start)
+        beta = np.full_like(alpha, -np.inf)
+        beta[np.arange(len(self.lengths)), self.lengths] = 0
+        for k in range(alpha.shape[1] - 2, -1, -1):
+            at = order[cuts[k] : cuts[k + 1]]
+            if len(at):
+                words, sums = _log_sums(self.word[at], beta[self.word[at], self.end[at]] + logp[self.piece[at]])
+                beta[words, k] = sums
+        share = alpha[self.word, self.start] + logp[self.piece] + beta[self.word, self.end] - self.whole(alpha)[self.word]
+        out = np.zeros_like(logp)
+        np.add.at(out, self.piece, np.exp(share) * counts[self.word])
         return out
 
 
@@ -111,11 +138,10 @@ class LanguageModel:
 
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         """(words, languages), by the forward algorithm."""
-        out = np.empty((len(words), len(self.languages)))
-        for i in range(0, len(words), 4096):
-            lattice = Lattice.of(words[i : i + 4096], self.path)
-            alpha = lattice.forward(self.p)
-            out[i : i + 4096] = np.log(np.maximum(alpha[np.arange(len(lattice.lengths)), lattice.lengths], 1e-300))
+        out, logp = np.empty((len(words), len(self.languages))), np.log(self.p)
+        for at in steps(words):
+            lattice = Lattice.of([words[i] for i in at], self.path)
+            out[at] = lattice.whole(lattice.forward(logp))
         return out
 
 
@@ -133,9 +159,9 @@ def train(words: dict[str, dict[str, int]], path: str = PIECE_MODEL, rounds: int
         for lang, n in words[w].items():
             counts[i, at[lang]] = n
     for _ in range(rounds if langs else 0):
-        total = np.full_like(p, smoothing)
-        for i in range(0, len(names), 4096):
-            total += Lattice.of(names[i : i + 4096], path).expected(p, counts[i : i + 4096])
+        total, logp = np.full_like(p, smoothing), np.log(p)
+        for some in steps(names):
+            total += Lattice.of([names[i] for i in some], path).expected(logp, counts[some])
         p = total / total.sum(axis=0)
     return LanguageModel(langs, p, path)
 
@@ -143,15 +169,23 @@ def train(words: dict[str, dict[str, int]], path: str = PIECE_MODEL, rounds: int
 def fit(documents: DataFrame, sample_bytes: int = 1_000_000, path: str = PIECE_MODEL, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learns from documents outside the held-out fold with a language.
 
-    Documents are sampled by hashed id so that about ``sample_bytes`` of text are expected for each language;
-    their words are counted by the cluster, and the counts reach the driver.
+    Each language's documents are taken in the order of their hashed ids until they make up ``sample_bytes`` of text: the
+    cluster sums the bytes of PARTS ranges of hashes within each power of two, and the driver chooses a language's last range. So a sample holds
+    at least the range with the first document, and at most a PARTS-th and a document more than asked, whatever the lengths and the size of the corpus.
+    The cluster counts the words, and the counts reach the driver.
     """
     rows = documents.where((fold(doc_id) != 2) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("id"), text_bytes(text).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    if not sizes:
+    order = F.shiftrightunsigned(F.xxhash64("id"), 3).cast("double") + 1  # 1 to 2**61
+    rows = rows.withColumn("part", F.floor(F.log2(order) * PARTS).cast("int"))
+    last: dict[str, tuple[int, int]] = {}
+    for r in sorted(rows.groupBy("lang", "part").agg(F.sum(F.octet_length("text")).alias("n")).collect()):  # 61 * PARTS rows a language at most
+        held, _ = last.get(r["lang"], (0, 0))
+        if held < sample_bytes:
+            last[r["lang"]] = held + r["n"], r["part"]
+    if not last:
         return train({}, path)
-    parts = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, sample_bytes / max(1, n)) * (1 << 30)))])
-    some = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < parts[F.col("lang")]).select("lang", "text")
+    ends = F.create_map(*[F.lit(x) for k, (_, part) in last.items() for x in (k, part)])
+    some = rows.where(F.col("part") <= ends[F.col("lang")]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -193,12 +227,13 @@ _MEMORY: dict[str, _Known] = {}
 def identify(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``documents`` with lang_pred (string) and score (double: the posterior of that language under equal priors).
 
-    A text's probability in a language is the product over its words (stretches of letters,
+    A text's probability in a language is the product over its words (whole runs of letters of Unicode's category L,
     lower-cased and marked) of the sum over all their segmentations into vocabulary pieces.
     Whole texts are scored, each distinct word of a worker once while it is remembered.
 
     Null texts and texts without a letter give 'und' with score 0, as does everything if no
     language was learned. Equal posteriors: the language first in alphabetical order.
+    Repeated rows fare alike, very long texts and words are scored whole, an empty table gives no rows.
     Other columns pass through; columns with these two names are replaced. No shuffle.
     """
     import uuid
