@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
+from collections import deque
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,8 +12,6 @@ from pyspark.sql.window import Window
 from sheafline.llm.common import stored
 from sheafline.llm.token_counts import token_counts
 
-#: Lengths up to this are histogrammed exactly; beyond, rounded up to 1 / FINE of their power of two. So the histogram has at most EXACT + FINE * 50 rows, whatever the corpus.
-EXACT, FINE = 2048, 128
 #: Documents that one ranking task of a bucket orders, about.
 SPAN = 8192
 
@@ -30,52 +30,42 @@ def counted(documents: DataFrame, text: str = "text") -> DataFrame:
     return stored(token_counts(documents.withColumnRenamed(text, "text")).drop("text"), "token-counts")
 
 
-def grid(length: Column) -> Column:
-    """The histogram's value for a length: never less than the length, at most 1 / FINE more."""
-    step = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")))) / FINE)
-    return F.when(length <= EXACT, length).otherwise((F.ceil(length / step) * step).cast("long"))
-
-
-def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """Upper ends of at most ``buckets`` buckets with the least total padded length, by dynamic programming.
+def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
+    """Upper ends of at most ``buckets`` buckets with the least total padded length, by dynamic programming in exact integers.
 
-    cost(i, j) = lengths[j] * (documents in i..j) obeys the quadrangle inequality, so each
-    layer is solved by divide and conquer: O(buckets * D log D) for D histogram rows.
+    With C the running counts, the best for the first j lengths in one bucket more is
+    lengths[j] * C[j + 1] + min over i of (best[i - 1] - C[i] * lengths[j]): the lowest of lines whose slopes fall
+    with i, asked at growing lengths, so a moving convex hull finds each layer in O(D) for D distinct lengths.
     Equal costs: the fewer buckets, then the smaller split.
     """
     d = len(lengths)
     if not d:
         return []
-    below = np.concatenate([[0], np.cumsum(counts)]).astype(np.float64)
-    best = lengths * below[1:]  # one bucket for 0..j
+    below = [0, *accumulate(counts)]
+    best = [n * c for n, c in zip(lengths, below[1:], strict=True)]  # one bucket for 0..j
     layers, totals = [], [best[-1]]
     for _ in range(1, min(buckets, d)):
-        new, cut = best.copy(), np.zeros(d, np.int64)
-        todo = [(1, d - 1, 1, d - 1)]
-        while todo:
-            lo, hi, a, b = todo.pop()
-            if lo > hi:
-                continue
-            j = (lo + hi) // 2
-            i = np.arange(a, min(j, b) + 1)  # the last bucket holds i..j
-            cost = best[i - 1] + lengths[j] * (below[j + 1] - below[i])
-            k = int(np.argmin(cost))
-            if cost[k] < new[j]:
-                new[j], cut[j] = cost[k], i[k]
-            todo += [(lo, j - 1, a, int(i[k])), (j + 1, hi, int(i[k]), b)]
+        new, cut, hull = best.copy(), [0] * d, deque()
+        for j in range(1, d):
+            m, b = -below[j], best[j - 1]
+            while len(hull) > 1 and (b - hull[-2][1]) * (hull[-2][0] - hull[-1][0]) <= (hull[-1][1] - hull[-2][1]) * (hull[-2][0] - m):
+                hull.pop()
+            hull.append((m, b, j))
+            x = lengths[j]
+            while len(hull) > 1 and hull[1][0] * x + hull[1][1] < hull[0][0] * x + hull[0][1]:
+                hull.popleft()
+            cost = x * below[j + 1] + hull[0][0] * x + hull[0][1]
+            if cost < new[j]:
+                new[j], cut[j] = cost, hull[0][2]
         layers.append(cut)
         best = new
         totals.append(best[-1])
-    used = int(np.argmin(totals))
     ends, j = [], d - 1
-    for cut in reversed(layers[:used]):
-        ends.append(int(lengths[j]))
-        if cut[j] == 0:  # already best with fewer buckets
-            continue
-        j = int(cut[j]) - 1
-    if not ends or ends[-1] != int(lengths[j]):
-        ends.append(int(lengths[j]))
-    return sorted(set(ends))
+    for cut in reversed(layers[: totals.index(min(totals))]):
+        if cut[j]:  # else already best with fewer buckets
+            ends.append(lengths[j])
+            j = cut[j] - 1
+    return sorted({*ends, lengths[j]})
 
 
 def pack(documents: DataFrame, length: Column | None = None, buckets: int = 16, budget: int = 65536, doc_id: str = "doc_id", seed: int = 11) -> DataFrame:
@@ -84,9 +74,10 @@ def pack(documents: DataFrame, length: Column | None = None, buckets: int = 16,
     Adds n_tokens (``length``, default :func:`token_length`), bucket (int, from 0 by length),
     padded (long, the bucket's length), rank (long, from 0 within the bucket), batch (long,
     from 0 within the bucket). Boundaries are the optimum of the dynamic programme over the
-    global histogram, which is summed by tasks and has at most EXACT + FINE * 50 rows. A batch
+    global histogram, which is summed by tasks; the driver gets 16 bytes for each distinct length, of which there are at most
+    the square root of twice all tokens, and no more than the longest document has tokens. A batch
     holds floor(budget / padded) documents, at least one: a document longer than the budget
-    makes up a batch of its own; none is cut or dropped.
+    makes up a batch of its own; none is cut or dropped, and very long texts count with their true length.
 
     Order within a bucket is by hashed id. Ranks are exact without a task that sees a whole bucket: each
     bucket is dealt by hash into spans of about SPAN documents, ranked inside, and shifted by
@@ -96,14 +87,12 @@ def pack(documents: DataFrame, length: Column | None = None, buckets: int = 16,
     length are interchangeable. Columns with these names are replaced; ``length`` may read n_tokens itself. An empty table gives no rows.
     """
     docs = documents.drop("bucket", "padded", "rank", "batch").withColumn("n_tokens", F.coalesce(length if length is not None else token_length(), F.lit(0)).cast("long"))
-    docs = docs.withColumn("_g", grid(F.col("n_tokens")))
-    seen = docs.groupBy("_g").agg(F.count("*").alias("n")).collect()  # bounded, see EXACT
-    rows = sorted((r["_g"], r["n"]) for r in seen)
-    values, counts = np.array([r[0] for r in rows], np.float64), np.array([r[1] for r in rows], np.float64)
+    seen = docs.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")  # bounded, see above
+    values, counts = seen["n_tokens"].to_pylist(), seen["n"].to_pylist()
     ends = optimal_boundaries(values, counts, buckets) or [0]
-    sizes = [int(counts[(values <= e) & (values > (ends[i - 1] if i else -1))].sum()) for i, e in enumerate(ends)]
+    sizes = [sum(n for v, n in zip(values, counts, strict=True) if lo < v <= hi) for lo, hi in zip([-1, *ends], ends, strict=False)]
     edge = F.array(*[F.lit(e).cast("long") for e in ends])
-    docs = docs.withColumn("bucket", F.size(F.filter(edge, lambda e: e < F.col("_g")))).withColumn("padded", F.element_at(edge, F.col("bucket") + 1)).drop("_g")
+    docs = docs.withColumn("bucket", F.size(F.filter(edge, lambda e: e < F.col("n_tokens")))).withColumn("padded", F.element_at(edge, F.col("bucket") + 1))
     spans = F.element_at(F.array(*[F.lit(max(1, round(n / SPAN))).cast("long") for n in sizes]), F.col("bucket") + 1)
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-1))
     docs = docs.withColumn("_h", F.xxhash64(F.lit(seed), key)).withColumn("_span", F.pmod("_h", spans))
