@@ -135,14 +135,14 @@ def fertility(documents: DataFrame, pieces: str = PIECE_MODEL, ranks: str = BYTE
 
     Each language's bands are its median plus and minus ``width`` robust standard
     deviations (quartile distance / 1.349, with a floor of 2 % of the median), from all its
-    documents with at least ``least_pieces`` pieces; null languages form their own group. A text of
-    that many pieces is rejected where its metric lies outside the band by more than sampling explains: the band widens by
+    documents with at least ``least_pieces`` pieces; null languages form their own group. A text
+    is rejected where its metric lies outside the band by more than sampling explains: the band widens by
     sqrt(1 + 400 / n_pieces). Only the direction that speaks against a text counts:
     few characters per token, much byte fallback, little entropy.
 
     base_failed: fewer than 10 words, or more than 20 % of words in repeated 5-word windows.
     kept: neither base_failed nor out of band. Null or blank texts have zero figures, null metrics, and
-    fail the base. Repeated rows fare alike; an empty table gives no rows; extra columns are ignored.
+    fail the base. Repeated rows fare alike; very long texts are encoded whole, word by word; an empty table gives no rows; extra columns are ignored.
     The metrics are written once and read again; the only other exchange is the bands' (a few rows for each language).
     """
     group = F.col(lang).cast("string") if lang in documents.columns else F.lit(None).cast("string")
@@ -159,6 +159,6 @@ def fertility(documents: DataFrame, pieces: str = PIECE_MODEL, ranks: str = BYTE
     outside = F.lit(False)
     for m in METRICS:
         edge = F.col(f"{m}_mid") + (F.col(f"{m}_edge") - F.col(f"{m}_mid")) * wider
-        outside = outside | (F.col("n_pieces") >= least_pieces) & F.coalesce(F.col(m) > edge if m == "fallback_share" else F.col(m) < edge, F.lit(False))
+        outside = outside | F.coalesce(F.col(m) > edge if m == "fallback_share" else F.col(m) < edge, F.lit(False))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", base).withColumn("kept", ~base & ~outside).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_pieces", *METRICS)

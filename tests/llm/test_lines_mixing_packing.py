@@ -2,14 +2,13 @@ import itertools
 import math
 from collections import Counter
 
-import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sheafline.llm.line_dedup import dedup_lines
 from sheafline.llm.mixing import mix_sources
-from sheafline.llm.packing import grid, optimal_boundaries, pack
+from sheafline.llm.packing import optimal_boundaries, pack
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -73,7 +72,7 @@ def test_mixture_of_odd_rows(odd_documents, no_documents):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 60), st.integers(1, 20)), min_size=1, max_size=8, unique_by=lambda x: x[0]), st.integers(1, 5))
 def test_boundaries_are_optimal(histogram, buckets):
-    lengths, counts = map(lambda x: np.array(x, float), zip(*sorted(histogram), strict=True))
+    lengths, counts = map(list, zip(*sorted(histogram), strict=True))
 
     def cost(ends):
         return sum(c * min(e for e in ends if e >= n) for n, c in zip(lengths, counts, strict=True))
@@ -83,9 +82,28 @@ def test_boundaries_are_optimal(histogram, buckets):
     assert len(ends) <= buckets and cost(ends) == best
 
 
-def test_grid_never_cuts(spark):
-    rows = spark.range(0, 200_000, 37).select("id", grid(F.col("id")).alias("g"))
-    assert rows.where("g < id or g > id * (1 + 1.0/128) + 1").count() == 0
+def test_long_documents_get_exact_boundaries(spark):
+    lengths = [1, 2050, 2051, 99_999, 100_003, 100_003]
+    rows = pack(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n long"), length=F.col("n"), buckets=3, budget=200_000).collect()
+    assert {(r["n_tokens"], r["padded"]) for r in rows} == {(1, 1), (2050, 2051), (2051, 2051), (99_999, 100_003), (100_003, 100_003)}
+
+
+def test_hot_lines_and_clashing_names(spark):
+    """One line in every document, and a column named like a result."""
+    rows = [(i, f"the same long line stands in all of them\nown line {i}", 5) for i in range(3000)]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, n_lines int")).orderBy("doc_id").collect()
+    assert all(r["text"] == f"own line {r['doc_id']}" and (r["n_lines"], r["n_dropped"]) == (2, 1) for r in got[:-1])
+    assert got[-1]["text"] == rows[-1][1] and got[-1]["n_dropped"] == 0
+
+
+def test_mixture_of_many_sources_by_shuffle(spark, monkeypatch):
+    import sheafline.llm.mixing as m
+
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 2000)).alias("source"), F.lit(7).alias("rate"))
+    pairs = lambda d: sorted((r["doc_id"], r["copy"], r["rate"]) for r in d.select("doc_id", "copy", "rate").collect())
+    expected = pairs(mix_sources(docs))
+    monkeypatch.setattr(m, "BROADCAST_SOURCES", 10)
+    assert pairs(mix_sources(docs)) == expected and len(expected) > 4_000
 
 
 def test_packing(odd_documents, no_documents, monkeypatch):

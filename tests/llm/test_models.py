@@ -72,7 +72,51 @@ def test_forward_sums_all_segmentations():
     words = ["▁the", "▁tionouan", "▁éau日本", "▁x", "▁ᚠ"]
     got = model.log_probabilities(words)
     assert all(abs(got[i, k] - brute(w, k)) < 1e-9 for i, w in enumerate(words) for k in (0, 1))
-    assert language_id.letter_words("Ab1c " + "z" * 130)[:2] == ["▁ab", "▁c"] and len(language_id.letter_words("z" * 130)) == 3
+    assert language_id.letter_words("Ab1c " + "z" * 130) == ["▁ab", "▁c", "▁" + "z" * 130] and language_id.letter_words("² ½ ³ Ⅷ १") == []
+
+
+def test_forward_of_long_runs_is_exact():
+    """A run of 500 letters, whose probability is far below what a double holds, against exact fractions."""
+    from fractions import Fraction
+
+    pieces = {p: i for i, p in enumerate(vocabulary(PIECE_MODEL)[0])}
+    rng = np.random.default_rng(3)
+    model = language_id.LanguageModel(["x", "y"], rng.random((len(pieces) + 1, 2)) * 1e-3, PIECE_MODEL)
+    word = MARK + "".join(rng.choice(list("abcdeé日")) for _ in range(500))
+    longest = max(map(len, pieces))
+    for lang in (0, 1):
+        alpha = [Fraction(1)] + [Fraction(0)] * len(word)
+        for end in range(1, len(word) + 1):
+            for start in range(max(0, end - longest), end):
+                if word[start:end] in pieces:
+                    alpha[end] += alpha[start] * Fraction(float(model.p[pieces[word[start:end]], lang])).limit_denominator(10**12)
+            if word[end - 1] not in pieces:
+                alpha[end] += alpha[end - 1] * Fraction(float(model.p[len(pieces), lang])).limit_denominator(10**12)
+        true = math.log(alpha[-1].numerator) - math.log(alpha[-1].denominator)
+        assert true < -1000 and abs(model.log_probabilities([word, "▁a"])[0, lang] - true) < 1e-3
+
+
+def test_language_without_letters_or_with_one_document(spark):
+    one = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [(i, f"stone river bridge number {i}", "en") for i in range(40)] + [(one, "ein sehr langer deutscher text über den fluss " * 3000, "de")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_bytes=200)
+    assert model.languages == ["de", "en"]  # the one document is longer than the sample
+    odd = spark.createDataFrame([(1, "² ½ ³"), (2, "Ⅷ 12"), (3, "fluss"), (4, "a" * 500)], "doc_id long, text string")
+    assert [r["lang_pred"] == "und" for r in language_id.identify(odd, model).orderBy("doc_id").collect()] == [True, True, False, False]
+
+
+def test_quality_by_words_alone(spark):
+    """Two classes of one shape that differ in their words only; words share their first twelve letters."""
+    import random
+
+    rng = random.Random(5)
+    stem = "abcdefghijkl"
+    make = lambda good: " ".join(stem + rng.choice("mnop" if good else "qrst") * 3 for _ in range(60))
+    rows = [(i, make(i % 2), i % 2) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    got = quality.score_quality(docs.drop("quality"), quality.fit(docs.drop("quality"), docs.select("doc_id", "quality"))).join(docs.select("doc_id", "quality"), "doc_id").collect()
+    held = [r for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert len(held) > 50 and all((r["score"] >= 0.7) == (r["quality"] == 1) for r in held)
 
 
 def test_language_of_held_out_documents(spark, odd_documents, no_documents):
