@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import discard, mix, shingle_set, slices, stored, text_bytes
+from sheafline.llm.common import discard, join_with_hot, mix, shingle_set, slices, stored, text_bytes
 from sheafline.llm.components import components
 
 #: Distinct document ids up to which the ids that need verification are broadcast (8 MB of longs); beyond, they are joined by a shuffle.
@@ -133,8 +133,8 @@ def _differences(width: int):
 def _within_blocks(percent: int):
     """Rows (hub, e, i, j, block, id, c, g, d, prefix) come sorted by group (hub, e, i, j); a group is two blocks at most.
 
-    ``d`` is how a document differs from the hub, ``prefix`` the shingles it is indexed by: a pair is compared
-    under the least of them that both have. Documents of one component need no further link.
+    ``d`` is how a document differs from the hub, ``prefix`` the shingles it is indexed by, rarest first: a pair is compared
+    under the first of them that both have. Documents of one component need no further link.
     """
 
     def links(group: list[tuple], e: int, i: int, j: int) -> list[tuple[int, int]]:
@@ -151,13 +151,13 @@ def _within_blocks(percent: int):
         ends, g = np.cumsum(sizes), np.array([x[3] for x in group])
         _, shingles = np.unique(np.concatenate([x[4] for x in group]), return_inverse=True)
         own, found = np.zeros(shingles.max() + 1, bool), []
-        for n, (block, a, ca, _, _, pa_) in enumerate(group[:-1]):
+        for n, (block, a, ca, _, _, indexed) in enumerate(group[:-1]):
             mine = shingles[ends[n] - sizes[n] : ends[n]]
             own[mine] = True
             both = np.add.reduceat(own[shingles[ends[n] :]].astype(np.int64), ends[n:-1] - ends[n])
             own[mine] = False
             for other, b, cb, _, _, pb in (group[m] for m in np.flatnonzero(2 * (100 + percent) * both >= g[n] + g[n + 1 :]) + n + 1):
-                if (i == j or block != other) and min(pa_ & pb) == e and find(ca) != find(cb):
+                if (i == j or block != other) and find(ca) != find(cb) and next(filter(set(pb).__contains__, indexed)) == e:
                     found.append((a, b))
                     root[find(ca)] = find(cb)
         return found
@@ -170,7 +170,7 @@ def _within_blocks(percent: int):
                     if len(group) > 1:
                         yield _links(links(group, *at[1:]))
                     at, group = (hub, e, i, j), []
-                group.append((block, d, c, g, np.array(apart, np.int64), set(prefix)))
+                group.append((block, d, c, g, np.array(apart, np.int64), prefix))
         if len(group) > 1:
             yield _links(links(group, *at[1:]))
 
@@ -213,21 +213,28 @@ def _beyond_hubs(docs: DataFrame, members: DataFrame, comp: DataFrame, width: in
     d = _dealt_to_hubs(docs, open_.select("hub", "id")).mapInArrow(_differences(width), _DIFFERENCES)
     d = d.withColumn("g", (100 + percent) * F.size("d") - (100 - percent) * F.col("n"))
     d = stored(d.join(open_, ["hub", "id"]), "differences")
-    # how many differences a partner must share: x, apart from the hub, has g(x) > (100 - percent) |hub|; a partner y of
-    # whichever kind has g(y) >= 2 percent |dy| - (100 - percent) |hub|, and at least as many differences as are shared
+    # how many differences a partner must share: a partner y has g(y) >= 2 percent |dy| - (100 - percent) |hub| and at least as many
+    # differences as are shared; one of the two is apart from the hub, so a member that is not meets the least g of those
     spare = F.floor(F.col("n") * (100 - percent) / percent + 1e-9)
     base = (100 - percent) * F.col("hub_n")
-    shared = F.when(F.col("apart"), (F.col("g") - base) / 200.0).otherwise((F.col("g") + base) / (2.0 * (100 + percent)))
+    least = d.groupBy("hub").agg(F.count("*").alias("n_members"), F.min(F.when(F.col("apart"), F.col("g"))).alias("least"))
+    shared = F.when(F.col("apart"), (F.col("g") - base) / 200.0).otherwise((F.col("g") + F.col("least")) / (2.0 * (100 + percent)))
     need = F.greatest(F.lit(1), F.size("d") - spare, F.ceil(shared - 1e-9)).cast("int")
-    open_ = d.select("hub", "id", "apart", need.alias("need"), "d").where(F.size("d") >= F.col("need"))
-    one = open_.select("hub", "id", "apart", "need", F.explode("d").alias("e"))
+    open_ = join_with_hot(d, least, ["hub"], F.col("n_members") * 1000 >= d.count()).select("hub", "id", "apart", "g", need.alias("need"), "d").where(F.size("d") >= F.col("need"))
+    one = open_.select("hub", "id", "apart", "g", "need", F.explode("d").alias("e"))
     often = one.groupBy("hub", "e").agg(F.count("*").alias("n"), F.max("apart").alias("any")).where("n > 1 and any").select("hub", "e", "n")
     held = F.sort_array(F.collect_list(F.struct("n", "e")))  # within one document's differences
-    prefix = one.join(often, ["hub", "e"]).groupBy("hub", "id", "apart", "need").agg(held.alias("held")).where(F.size("held") >= F.col("need"))
-    prefix = prefix.select("hub", "id", "apart", F.transform(F.slice("held", 1, F.size("held") - F.col("need") + 1), lambda x: x["e"]).alias("prefix"))
+    prefix = one.join(often, ["hub", "e"]).groupBy("hub", "id", "apart", "g", "need").agg(held.alias("held")).where(F.size("held") >= F.col("need"))
+    prefix = prefix.select("hub", "id", "apart", "g", F.size("held").alias("n_held"), F.transform(F.slice("held", 1, F.size("held") - F.col("need") + 1), lambda x: x["e"]).alias("prefix"))
     prefix = stored(prefix, "prefixes")
 
-    listed = prefix.select("hub", "id", "apart", F.explode("prefix").alias("e"))
+    # a pair meets under the first shingle that both index, so they share no more than what follows it in either; in its list, the
+    # partner that asks least is known, and who cannot share so much with that one leaves
+    listed = prefix.select("hub", "id", "apart", "g", "n_held", F.posexplode("prefix").alias("pos", "e"))
+    ask = listed.groupBy("hub", "e").agg(F.min("g").alias("any"), F.min(F.when(F.col("apart"), F.col("g"))).alias("least")).where("least is not null")
+    listed = listed.join(ask, ["hub", "e"])
+    able = (F.col("n_held") - F.col("pos")) * (2 * (100 + percent)) >= F.col("g") + F.when(F.col("apart"), F.col("any")).otherwise(F.col("least"))
+    listed = listed.where(able).select("hub", "id", "apart", "e")
     size = F.size("d")
     blocks = lambda which: F.ceil(F.greatest(F.count_if(which) / F.lit(BLOCK), F.sum(F.when(which, F.col("size")).otherwise(0)) / F.lit(BLOCK_SHINGLES)))
     sizes = d.select("hub", "id", size.alias("size"))
@@ -246,7 +253,7 @@ def _beyond_hubs(docs: DataFrame, members: DataFrame, comp: DataFrame, width: in
     i = F.when(~F.col("apart"), F.col("m.with")).when(F.col("m.main"), F.col("block")).otherwise(F.least("block", "m.with"))
     j = F.when(~F.col("apart"), own).when(F.col("m.main"), -1 - F.col("m.with")).otherwise(F.greatest("block", "m.with"))
     rows = listed.select("hub", "e", i.alias("i"), j.alias("j"), own.alias("block"), "id")
-    rows = rows.join(d.join(prefix.drop("apart"), ["hub", "id"]), ["hub", "id"]).select("hub", "e", "i", "j", "block", "id", "c", "g", "d", "prefix")
+    rows = rows.join(d.join(prefix.select("hub", "id", "prefix"), ["hub", "id"]), ["hub", "id"]).select("hub", "e", "i", "j", "block", "id", "c", "g", "d", "prefix")
     rows = rows.repartition("hub", "e", "i", "j").sortWithinPartitions("hub", "e", "i", "j")
     more = stored(rows.mapInArrow(_within_blocks(percent), "a long, b long"), "more")
     discard(at, d, prefix)

@@ -20,21 +20,22 @@ _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 class _Words(dict):
-    """Hashes of a word: of its shape with runs collapsed, and of its lower-cased letters; at most 200,000 are remembered."""
+    """Two hashes of a word in one integer: of its shape with runs collapsed (upper half) and of its lower-cased letters; at most 200,000 are remembered."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 200_000:
             self.clear()
-        found = self[word] = zlib.crc32(_RUNS.sub(rb"\1", word.translate(SHAPES))), zlib.crc32(word.lower())
+        found = self[word] = zlib.crc32(_RUNS.sub(rb"\1", word.translate(SHAPES))) << 32 | zlib.crc32(word.lower())
         return found
 
 
-def term_counts(text: bytes | None, terms: int, cache: dict[bytes, tuple[int, int]]) -> np.ndarray:
+def term_counts(text: bytes | None, terms: int, cache: dict[bytes, int]) -> np.ndarray:
     """``terms`` hashed counts of word shapes, of pairs of neighbouring shapes and of words that repeat the one before; then ``terms`` of whole words."""
     words = text.split() if text else []
     if not words:
         return np.zeros(2 * terms)
-    shape, word = np.array([cache[w] for w in words], np.uint64).T
+    both = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    shape, word = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
     pairs = mix(shape[:-1] * np.uint64(31) + shape[1:])
     binned = lambda h: np.bincount((h % np.uint64(terms)).astype(np.int64), minlength=terms)
     shapes = binned(mix(shape)) + binned(pairs)
@@ -67,9 +68,13 @@ class QualityModel:
 
     def weighted(self, counts: np.ndarray) -> np.ndarray:
         """Square roots of shares, of shapes and of words each, times the inverse document frequency; unit length."""
-        halves = [h / np.maximum(1.0, h.sum(axis=1, keepdims=True)) for h in np.hsplit(counts, 2)]
-        a = np.sqrt(np.hstack(halves)) * self.idf
-        return a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+        a = counts.copy()
+        for half in np.hsplit(a, 2):  # views
+            half /= np.maximum(1, half.sum(axis=1, keepdims=True))
+        np.sqrt(a, out=a)
+        a *= self.idf.astype(a.dtype)
+        a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+        return a
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
         z = self.weighted(counts) @ self.axes
@@ -89,6 +94,15 @@ class QualityModel:
         return np.clip(out, 0.0, 1.0)
 
 
+def strongest_axes(a: np.ndarray, dims: int, rounds: int = 12) -> np.ndarray:
+    """The first right singular vectors of ``a`` by subspace iteration with a fixed start: (terms, dims), never a terms x terms matrix."""
+    q = np.random.default_rng(7).normal(size=(a.shape[1], min(a.shape[1], 2 * dims)))
+    for _ in range(rounds):
+        q = np.linalg.qr(a.T @ (a @ q))[0]
+    b = a @ q
+    return q @ np.linalg.eigh(b.T @ b)[1][:, ::-1][:, :dims]
+
+
 def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int = 1024, dims: int = 32, neighbours: int = 15, power: float = 8.0, rest: float = 0.01) -> QualityModel:
     """Learns from labelled rows outside the held-out fold (crc32 of the id mod 4 is 2).
 
@@ -103,11 +117,15 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int
     if not seen:
         return QualityModel(np.ones(2 * terms), np.zeros((2 * terms, 1)), np.empty((0, 1)), np.empty(0), 1.0, neighbours, power, rest)
     seen.sort(key=lambda r: (bytes(r["counts"]), r["label"]))  # the same model whatever order rows come in
-    x, y = np.array([np.frombuffer(r["counts"], np.float32) for r in seen], np.float64), np.array([r["label"] for r in seen])
+    x, y = np.empty((len(seen), 2 * terms), np.float32), np.array([r["label"] for r in seen])
+    for i, r in enumerate(seen):
+        x[i] = np.frombuffer(r["counts"], np.float32)
+    seen.clear()
     model = QualityModel(np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1, np.empty(0), np.empty(0), y, float(y.mean()), neighbours, power, rest)
     a = model.weighted(x)
-    model.axes = np.linalg.eigh(a.T @ a)[1][:, ::-1][:, :dims].copy()
-    model.vectors = model.latent(x)
+    model.axes = strongest_axes(a, dims)
+    z = a @ model.axes
+    model.vectors = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     return model
 
 
