@@ -16,6 +16,8 @@ from sheafline.llm.common import fold, mix, slices, text_bytes
 
 #: A byte's class: white space, digit, upper case, letter (and every non-ASCII byte), or itself.
 SHAPES = bytes(32 if c in b" \t\n\r\x0b\x0c" else 97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
+#: Documents whose term counts are held at a time, however short they are.
+ROWS = 256
 _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 
 
@@ -47,8 +49,10 @@ def _counted(terms: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
         for batch in slices(batches):
-            rows = [term_counts(x, terms, cache).astype(np.float32) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(1)], ["counts", "label"])
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                rows = [term_counts(x, terms, cache).astype(np.float32).tobytes() for x in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), part.column(1)], ["counts", "label"])
 
     return run
 
@@ -143,8 +147,10 @@ def score_quality(documents: DataFrame, model: QualityModel, terms: int = 1024)
         cache = _Words()
         for batch in slices(batches, "_bytes"):
             at = batch.schema.get_field_index("_bytes")
-            counts = np.array([term_counts(x, terms, cache) for x in batch.column(at).to_pylist()])
-            score = np.where(counts.any(axis=1), shared.value.score(counts), shared.value.prior)
+            texts, score = batch.column(at).to_pylist(), np.full(batch.num_rows, shared.value.prior)
+            for i in range(0, len(texts), ROWS):
+                counts = np.array([term_counts(x, terms, cache) for x in texts[i : i + ROWS]], np.float32)
+                score[i : i + ROWS] = np.where(counts.any(axis=1), shared.value.score(counts), shared.value.prior)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != at), pa.array(score, pa.float64())], [*(n for n in batch.schema.names if n != "_bytes"), "score"])
 
     rows = documents.select(*kept, text_bytes().alias("_bytes"))
