@@ -5,8 +5,11 @@ They run inside Arrow operators; the JVM versions are in :mod:`sheafline.functio
 
 from __future__ import annotations
 
+import functools
+import json
 import re
 import unicodedata
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,15 +24,23 @@ _UNNAMED = re.compile(r"\[SANS_ENTETE_(\d+)\]", re.I)
 _NUMBER = re.compile(r"[+−-]?\d[\d\s.,'’]*")
 
 
+@functools.lru_cache(maxsize=50_000)
 def plain(value: str | None) -> str:
     return " ".join(re.sub(r"[*_`]", "", _BREAK.sub(" ", value or "")).split())
 
 
+@functools.lru_cache(maxsize=50_000)
 def fuzzy(value: str | None) -> str:
     decomposed = unicodedata.normalize("NFKD", plain(value).lower())
     return re.sub(r"[^a-z0-9]+", " ", "".join(c for c in decomposed if not unicodedata.combining(c))).strip()
 
 
+def alike(a: str, b: str, least: float) -> bool:
+    """Whether the similarity ratio is ``least`` or more; its cheap upper bounds are asked first."""
+    m = SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() >= least and m.quick_ratio() >= least and m.ratio() >= least
+
+
 def decimal(value: str | None) -> float | None:
     found = _NUMBER.search(plain(value))
     if not found:
@@ -68,3 +79,28 @@ def fuzzy_normalize_exact(c: Column | str) -> Column:
         return values.map(fuzzy)
 
     return normalized(t.text(c))
+
+
+def content_text(value: object) -> str:
+    """Text of a content value: a string, an object's text or else its content, or a list's non-blank parts joined by blank lines, however deep."""
+    if isinstance(value, list):
+        return "\n\n".join(x for x in map(content_text, value) if x.strip())
+    if isinstance(value, dict):
+        return content_text(value["text"] if isinstance(value.get("text"), str) else value.get("content"))
+    return value if isinstance(value, str) else ""
+
+
+def json_text_exact(c: Column | str) -> Column:
+    """:func:`sheafline.functions.text.json_text` for nesting of any depth; text that is no JSON gives ''."""
+
+    def of(value: str) -> str:
+        try:
+            return content_text(json.loads(value))
+        except (ValueError, RecursionError):
+            return ""
+
+    @F.pandas_udf("string")
+    def extracted(values: pd.Series) -> pd.Series:
+        return values.map(of)
+
+    return extracted(t.text(c))

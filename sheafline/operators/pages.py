@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass, field
+from difflib import SequenceMatcher
 from functools import cached_property
 
 from sheafline.functions.text import PAGE_MARKER
@@ -78,6 +80,13 @@ class AuditTable:
         return [cells for kind, cells in self.rows if kind not in ("header", "continuation", "note")]
 
 
+@functools.lru_cache(maxsize=50_000)
+def header_score(a: str, b: str) -> float:
+    """Similarity of two normalised headers: their ratio, and 0.4 times the share of common words."""
+    one, two = set(a.split()), set(b.split())
+    return SequenceMatcher(None, a, b).ratio() + 0.4 * (len(one & two) / len(one | two) if one or two else 0.0)
+
+
 @dataclass
 class Page:
     """Markdown and independent audit text of a page."""
@@ -153,20 +162,11 @@ class Page:
     @cached_property
     def pairs(self) -> list[tuple[AuditTable, Table]]:
         """Audit tables in order, each with the best remaining Markdown table by similarity of headers (0.25 at least; the earlier of equals)."""
-        from difflib import SequenceMatcher
-
         free, out = dict(enumerate(self.tables)), []
         signs = {i: fuzzy(" | ".join(t.header)) for i, t in free.items()}
         for audit in self.audit_tables:
             sign = fuzzy(" | ".join(audit.header))
-            words = set(sign.split())
-
-            def score(i: int, sign: str = sign, words: set[str] = words) -> float:
-                other = set(signs[i].split())
-                shared = len(words & other) / len(words | other) if words or other else 0.0
-                return SequenceMatcher(None, sign, signs[i]).ratio() + 0.4 * shared
-
-            best = max(free, key=lambda i: (score(i), -i), default=None)
-            if best is not None and score(best) >= 0.25:
-                out.append((audit, free.pop(best)))
+            score, best = max(((header_score(sign, signs[i]), -i) for i in free), default=(0.0, 0))
+            if free and score >= 0.25:
+                out.append((audit, free.pop(-best)))
         return out

@@ -59,11 +59,18 @@ def profiles(stage: str, most: int = 4) -> list[tuple[int, str, int, int, int]]:
 
 
 def first_fitting_profile(pages: DataFrame, stage: str, size_mb: Column, budget_mb: float = 14.0) -> DataFrame:
-    """Each page with the best profile whose body fits the budget, the lightest if none does. ``size_mb`` may use full_dpi, detail_dpi and quality."""
-    every = F.array(*[F.struct(F.lit(r).alias("rank"), F.lit(n).alias("profile"), F.lit(f).alias("full_dpi"), F.lit(d).alias("detail_dpi"), F.lit(q).alias("quality")) for r, n, f, d, q in profiles(stage)])
-    rows = pages.withColumn("_p", F.explode(every)).select("*", "_p.*").withColumn("body_mb", size_mb)
-    choice = F.min(F.struct((F.col("body_mb") > budget_mb).alias("over"), F.when(F.col("body_mb") > budget_mb, -F.col("rank")).otherwise(F.col("rank")).alias("k"), F.col("profile"), F.col("body_mb")))
-    return rows.groupBy(*pages.columns).agg(choice.alias("c")).select(*pages.columns, "c.profile", "c.body_mb", (~F.col("c.over")).alias("fits"))
+    """Each page with the best profile whose body fits the budget, the lightest (and fits false) if none does or its size is unknown.
+
+    ``size_mb`` may use full_dpi, detail_dpi and quality. The profiles are tried inside the row: no shuffle, repeated pages stay.
+    """
+    rows, found = pages, []
+    for rank, name, full, detail, quality in profiles(stage):
+        tried = rows.select("*", F.lit(full).alias("full_dpi"), F.lit(detail).alias("detail_dpi"), F.lit(quality).alias("quality"))
+        rows = tried.select(*rows.columns, size_mb.alias(f"_mb{rank}"))
+        found.append((F.lit(name), F.col(f"_mb{rank}")))
+    made = lambda name, mb, fits: F.struct(name.alias("profile"), mb.alias("body_mb"), F.lit(fits).alias("fits"))
+    choice = F.coalesce(*[F.when(mb <= budget_mb, made(name, mb, True)) for name, mb in found], made(*found[-1], False))
+    return rows.withColumn("_c", choice).select(*pages.columns, "_c.profile", "_c.body_mb", "_c.fits")
 
 
 def use_prompt_cache(pages: Column, workers: int, forced: bool = False) -> Column:

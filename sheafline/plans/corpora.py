@@ -27,6 +27,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     items = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.col("p_name").alias("name"), unit_price().alias("unit"))
+    # dealt by the session's number of partitions: what follows is bound by CPU, so small tables must not be merged into a task or two
+    items = items.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
     return items.groupBy(F.col("l_orderkey").alias("order_key")).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.functions import text as t
-from sheafline.functions.unicode import fuzzy_normalize_exact
-from sheafline.operators import canonical, findings, grammar, markdown, state, tables, transport
+from sheafline.functions.unicode import fuzzy_normalize_exact, json_text_exact
+from sheafline.operators import canonical, findings, grammar, markdown, results, state, tables, transport
 from sheafline.plans import corpora
 from sheafline.session import table
 
@@ -167,11 +167,10 @@ def attribute_bags(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", m["id"].alias("id"), m["kind"].alias("kind"), m["groups"].alias("groups"))
 
 
-@query("""SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS unescaped_html, length(text) > 1000 AS shortened FROM documents""")
+@query(r"""SELECT doc_id, regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '([\\`*_\[\]#~|])', '\\\1', 'g') AS escaped, length(text) > 1000 AS shortened FROM documents""")
 def markdown_escapes(spark: SparkSession, sf: str) -> DataFrame:
-    """Escapes are undone by dropping the backslashes again (the texts hold none of their own)."""
-    escaped = t.escape_literal("text")
-    return table(spark, sf, "documents").select("doc_id", F.regexp_replace(escaped, r"\\([\\`*_\[\]#~|])", "$1").alias("unescaped_html"), t.shorten("text", 1000)["shortened"].alias("shortened"))
+    """Escaped texts as they are (the documents hold no display tokens)."""
+    return table(spark, sf, "documents").select("doc_id", t.escape_literal("text").alias("escaped"), t.shorten("text", 1000)["shortened"].alias("shortened"))
 
 
 @query("""SELECT page_id, 'https://' AS scheme, replace(url, '://', '/') AS key FROM (SELECT page_id, url FROM pages)""")
@@ -256,7 +255,7 @@ def _orders_pages(spark: SparkSession, sf: str, md, audit=None) -> DataFrame:
 
 
 def _rules(pages: DataFrame, *names: str, groups: tuple[str, ...], audit: str | None = None) -> DataFrame:
-    return findings.page_findings(pages, groups, audit=audit).where(F.col("rule").isin(*names)).select("doc_id", "rule")
+    return findings.page_findings(pages, groups, audit=audit, partitions=pages.sparkSession.sparkContext.defaultParallelism).where(F.col("rule").isin(*names)).select("doc_id", "rule")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'possible_compact_group_split' AS rule FROM orders WHERE o_orderkey % 4 = 0""")
@@ -345,6 +344,35 @@ def document_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return findings.document_verdict(pages, findings.page_findings(pages, ("accounting", "compact", "regression")))
 
 
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, count(*) AS k FROM lineitem GROUP BY 1)
+ SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'warning' WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 THEN 'degraded' ELSE 'warning' END AS status, doc_id % 3 = 0 AS review_required,
+ CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS n_critical, k + 1 AS row_count, 3 * doc_id AS input_tokens, CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END AS n_notes FROM n""")
+def composed_page_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Both readings of each order's invoice put together; the totals table has an amount's name in its header where doc_id % 3 = 0."""
+    stats = lambda n: F.struct((F.col("doc_id") * n).alias("input_tokens"), *[F.lit(0).cast("long").alias(k) for k in state.COUNTERS[1:]])
+    audits = corpora.audit_pages(spark, sf).withColumn("stats", stats(1))
+    shown = F.when(F.col("doc_id") % 3 == 0, F.replace("markdown", F.lit("| LIBELLE |"), F.lit("| NET A PAYER |"))).otherwise(F.col("markdown"))
+    out = results.page_results(audits, corpora.invoice_pages(spark, sf).withColumn("markdown", shown).withColumn("stats", stats(2)))
+    return out.select("doc_id", "status", "review_required", "n_critical", F.col("quality.row_count").cast("long").alias("row_count"), F.col("stats.input_tokens").alias("input_tokens"), F.size("quality.warnings").alias("n_notes"))
+
+
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, count(*) AS k FROM lineitem GROUP BY 1)
+ SELECT doc_id, doc_id % 3 <> 0 AND doc_id % 4 <> 0 AS ok, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 0 END AS n_errors, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_critical FROM n""")
+def validated_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Final documents are assembled, taken apart and judged: a short first row where doc_id % 4 = 0, an amount's name in a header where % 3 = 0."""
+    short = F.when(F.col("doc_id") % 4 == 0, F.regexp_replace("markdown", r"(?s)\A((?:[^\n]*\n){5})\| [^|\n]* \|", "$1|")).otherwise(F.col("markdown"))
+    shown = F.when(F.col("doc_id") % 3 == 0, F.replace(short, F.lit("| LIBELLE |"), F.lit("| NET A PAYER |"))).otherwise(short)
+    docs = state.assemble_documents(corpora.invoice_pages(spark, sf).withColumn("markdown", shown), audit=None)
+    return findings.validate_documents(docs.withColumn("page_count", F.lit(1))).select("doc_id", "ok", "n_errors", "n_critical")
+
+
+@query("""SELECT conv_id, turn, text FROM conversations""")
+def nested_content_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts wrapped six lists deep are found again."""
+    deep = F.to_json(F.struct(F.array(F.struct(F.col("text").alias("text"))).alias("content")))
+    return table(spark, sf, "conversations").select("conv_id", "turn", json_text_exact(F.concat(F.lit("[[[[["), deep, F.lit("]]]]]"))).alias("text"))
+
+
 # ---- usage, state, assembly -----------------------------------------------------------------
 
 
@@ -374,9 +402,10 @@ def status_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return state.status_histogram(_statuses(spark, sf))
 
 
-@query(f"""WITH s AS (SELECT source AS batch, {_STATUS} AS status FROM documents JOIN labels USING (doc_id)) SELECT batch, CASE WHEN bool_or(status = 'unavailable') THEN 'partial' WHEN bool_or(status IN ('degraded','warning')) THEN 'warning' ELSE 'ok' END AS quality_status FROM s GROUP BY 1""")
+@query(f"""WITH s AS (SELECT doc_id // 3 AS batch, {_STATUS} AS status FROM documents LEFT JOIN labels USING (doc_id)) SELECT batch, CASE WHEN bool_or(status = 'unavailable') THEN 'partial' WHEN bool_or(status IN ('degraded','warning')) THEN 'warning' ELSE 'ok' END AS quality_status FROM s GROUP BY 1""")
 def document_quality_status(spark: SparkSession, sf: str) -> DataFrame:
-    return state.document_status(_statuses(spark, sf).where(F.col("status") != "unavailable"), "batch")
+    """Batches of three neighbouring ids: partial, warning and ok all occur."""
+    return state.document_status(_statuses(spark, sf).withColumn("batch", F.floor(F.col("doc_id") / 3).cast("long")), "batch")
 
 
 @query("""SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""")
