@@ -254,21 +254,22 @@ def _orders_pages(spark: SparkSession, sf: str, md, audit=None) -> DataFrame:
     return table(spark, sf, _KEYS).select(*cols, *([audit.alias("audit")] if audit is not None else []))
 
 
-def _rules(pages: DataFrame, *names: str, groups: tuple[str, ...], audit: str | None = None) -> DataFrame:
-    return findings.page_findings(pages, groups, audit=audit, partitions=pages.sparkSession.sparkContext.defaultParallelism).where(F.col("rule").isin(*names)).select("doc_id", "rule")
+def _rules(pages: DataFrame, *groups: str, audit: str | None = None) -> DataFrame:
+    """All findings of the groups, whatever their rule."""
+    return findings.page_findings(pages, groups, audit=audit, partitions=pages.sparkSession.sparkContext.defaultParallelism).select("doc_id", "rule")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'possible_compact_group_split' AS rule FROM orders WHERE o_orderkey % 4 = 0""")
 def compact_group_split(spark: SparkSession, sf: str) -> DataFrame:
     md = F.concat(F.lit("| A | B |\n|---|---|\n| "), F.when(F.col("o_orderkey") % 4 == 0, "12 | kg").otherwise("12 kg | 3"), F.lit(" |"))
-    return _rules(_orders_pages(spark, sf, md), "possible_compact_group_split", groups=("compact",))
+    return _rules(_orders_pages(spark, sf, md), "compact")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'financial_label_in_header' AS rule FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'financial_amount_in_header' FROM orders WHERE o_orderkey % 5 = 0""")
 def financial_label_in_header(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     md = F.concat(F.lit("| TOTAL HT | "), F.when(key % 5 == 0, "10,00 €").otherwise("MONTANT"), F.lit(" |\n|---|---|\n| "), F.when(key % 3 == 0, "Remise").otherwise("Vis"), F.lit(" | 1 |"))
-    return _rules(_orders_pages(spark, sf, md), "financial_label_in_header", "financial_amount_in_header", groups=("accounting",))
+    return _rules(_orders_pages(spark, sf, md), "accounting")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'page_marker_absent' AS rule FROM orders WHERE o_orderkey % 2 = 0
@@ -276,7 +277,7 @@ def financial_label_in_header(spark: SparkSession, sf: str) -> DataFrame:
 def page_structure_findings(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     md = F.concat(F.when(key % 2 == 0, "").otherwise("<!-- PAGE 1 -->\n"), F.lit("| A | [SANS_ENTETE_"), F.when(key % 5 == 0, "2").otherwise("1"), F.lit("] |\n|---|---|\n| 1 | 2 |"), F.when(key % 3 == 0, "\n| 1 |").otherwise(""))
-    return _rules(_orders_pages(spark, sf, md), "page_marker_absent", "table_width_mismatch", "sans_entete_numerotation_invalide", groups=("structure",))
+    return _rules(_orders_pages(spark, sf, md), "structure")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'track_map_tracks_mismatch' AS rule FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'track_map_header_count_mismatch' FROM orders WHERE o_orderkey % 3 = 0
@@ -287,7 +288,78 @@ def grid_commitment_findings(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("<!-- TRACK_MAP locked=yes tracks="), F.when(key % 3 == 0, "3").otherwise("2"), F.lit(' headers="A¦[SANS_ENTETE_1]" evidence="geometry:1" -->\n<!-- GRID_MAP tracks=2 header_spans=1 unnamed='),
         F.when(key % 5 == 0, "1").otherwise("p2"), F.lit(" -->\n<!-- ROW_MAP source_rows="), F.when(key % 7 == 0, "2").otherwise("1"), F.lit(" continuations=0 output_rows="), F.when(key % 7 == 0, "2").otherwise("1"), F.lit(" mixed=none -->\n| A | [SANS_ENTETE_1] |\n|---|---|\n| 1 | 2 |"),
     )
-    return _rules(_orders_pages(spark, sf, md), "track_map_tracks_mismatch", "track_map_header_count_mismatch", "grid_map_unnamed_mismatch", "row_map_output_mismatch", groups=("commitments",))
+    return _rules(_orders_pages(spark, sf, md), "commitments")
+
+
+#: Declared grids of invoices with a fee row on every fourth; the totals table never has any.
+_DECLARED = """n AS (SELECT l_orderkey AS doc_id, count(*) AS k FROM lineitem GROUP BY 1), broken(rule, every) AS (VALUES
+ ('track_map_not_locked', 3), ('track_map_tracks_mismatch', 5), ('track_map_header_count_mismatch', 5), ('track_map_headers_mismatch', 7), ('track_map_evidence_absent', 11),
+ ('grid_map_tracks_mismatch', 13), ('grid_map_header_spans_invalid', 17), ('grid_map_unnamed_mismatch', 19), ('row_map_output_mismatch', 2), ('row_map_equation_mismatch', 23), ('row_map_mixed_invalid', 29),
+ ('mixed_row_header_zone_not_empty', 31), ('track_map_absent_complex', 1), ('grid_map_absent_complex', 1), ('row_map_absent_complex', 1)),
+ special(rule, every) AS (VALUES ('special_row_geometry_evidence_absent', 11), ('special_row_map_tracks_mismatch', 5), ('special_row_map_cell_count_mismatch', 5), ('special_row_map_cells_mismatch', 13))"""
+
+
+@query(f"""WITH {_DECLARED} SELECT doc_id, CASE WHEN rule = 'row_map_output_mismatch' AND doc_id % 4 = 0 THEN 'financial_' ELSE '' END || rule AS rule FROM n JOIN broken ON doc_id % every = 0
+ UNION ALL SELECT doc_id, rule FROM n JOIN special ON doc_id % every = 0 WHERE doc_id % 4 = 0 AND doc_id % 3 <> 0 AND (rule <> 'special_row_map_cells_mismatch' OR doc_id % 7 <> 0)
+ UNION ALL SELECT doc_id, 'special_row_map_label_not_found' FROM n WHERE doc_id % 4 = 0 AND doc_id % 3 <> 0 AND doc_id % 7 = 0
+ UNION ALL SELECT doc_id, 'special_row_map_absent' FROM n WHERE doc_id % 4 = 0 AND doc_id % 3 = 0
+ UNION ALL SELECT doc_id, 'special_row_geometry_evidence_absent' FROM n WHERE doc_id % 4 = 0 AND doc_id % 3 = 0 AND doc_id % 11 = 0
+ UNION ALL SELECT doc_id, kind || '_map_orphelin_ligne' FROM n, (VALUES ('track'), ('grid'), ('row'), ('special_row')) v(kind) WHERE doc_id % 37 = 0""")
+def declared_invoice_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """Every invoice declares the tracks and rows of its line items, wrongly at certain keys; all findings of the declarations."""
+    key, fee = F.col("doc_id"), F.col("doc_id") % 4 == 0
+    off = lambda every, wrong, right: F.when(key % every == 0, wrong).otherwise(right)
+    shown = F.size(F.col("tables")[0]["rows"]) + F.when(fee, 1).otherwise(0)
+    names = F.array_join(F.array(off(7, "REFERENCE", corpora.HEADER[0]), *map(F.lit, corpora.HEADER[1:])), "¦")
+    track = F.concat(F.lit("<!-- TRACK_MAP locked="), off(3, "no", "yes"), F.lit(" tracks="), off(5, "4", "5"), F.lit(' headers="'), names, F.lit('" evidence="'), off(11, "", "geometry:1"), F.lit('" -->'))
+    grid = F.concat(F.lit("<!-- GRID_MAP tracks="), off(13, "6", "5"), F.lit(" header_spans="), off(17, "9", "1"), F.lit(" unnamed="), off(19, "p2", "none"), F.lit(" -->"))
+    declared = shown + off(2, 1, 0)
+    mixed = F.concat_ws(",", F.when(key % 31 == 0, "r1"), F.when(key % 29 == 0, "r9999"))
+    row = F.concat(F.lit("<!-- ROW_MAP source_rows="), (declared + 1 + off(23, 1, 0)).cast("string"), F.lit(" continuations=1 output_rows="), declared.cast("string"), F.lit(" mixed="), F.when(mixed == "", "none").otherwise(mixed), F.lit(" -->"))
+    special = F.concat(F.lit('<!-- SPECIAL_ROW_MAP label="'), off(7, "Consigne", "Eco-contribution"), F.lit('" tracks='), off(5, "4", "5"), F.lit(' cells="¦Eco-contribution¦1¦0,10¦'), off(13, "0,20", "0,10"), F.lit('" -->'))
+    maps = F.concat_ws("\n", track, grid, row, F.when(fee & (key % 3 != 0), special))
+    halves = F.split("markdown", "\n\n## Totaux")
+    left_over = '<!-- TRACK_MAP locked=yes tracks=1 headers="A" evidence="geometry:1" -->\n<!-- GRID_MAP tracks=1 header_spans=1 unnamed=none -->\n<!-- ROW_MAP source_rows=1 continuations=0 output_rows=1 mixed=none -->\n<!-- SPECIAL_ROW_MAP label="A" tracks=1 cells="A" -->'
+    md = F.concat_ws("\n", F.replace(halves[0], F.lit("\n| REF |"), F.concat(F.lit("\n"), maps, F.lit("\n| REF |"))), F.when(fee, "|  | Eco-contribution | 1 | 0,10 | 0,10 |"), F.lit("\n## Totaux"), F.ltrim(halves[1]), F.when(key % 37 == 0, left_over))
+    return _rules(_parsed(spark, sf).select("doc_id", "page", md.alias("markdown")), "commitments")
+
+
+@query("""SELECT o_orderkey AS doc_id, rule FROM orders JOIN (VALUES ('ocr_audit_recopie_dans_markdown', 2), ('heading_diagnostic_interdit', 3), ('table_sans_donnee', 5), ('table_markdown_malformee', 7), ('table_largeur_entete_separateur', 11), ('sans_entete_colonne_entierement_vide', 13)) v(rule, every) ON o_orderkey % every = 0""")
+def page_shape_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """The page rules that page_structure_findings leaves out, around each order's status and amount."""
+    key = F.col("o_orderkey")
+    off = lambda every, wrong, right="": F.when(key % every == 0, wrong).otherwise(right)
+    cells = F.concat(F.lit("| "), F.col("o_orderstatus"), F.lit(" | "), corpora.comma(F.col("o_totalprice")), F.lit(" |"))
+    parts = [
+        F.lit("<!-- PAGE 1 -->\n| A | B |\n|---|---|"), cells, F.lit(""), off(2, "[[VISUAL_ROW id=R1]]"), off(3, "## Inventaire des zones"), off(5, "| C | D |\n|---|---|\n"),
+        F.lit("| E | F |"), off(7, "| x | y |", "|---|---|"), cells, F.lit("\n| G | H |"), off(11, "|---|", "|---|---|"), cells, F.lit("\n| I | [SANS_ENTETE_1] |\n|---|---|"), F.concat(F.lit("| 1 | "), off(13, "", "2"), F.lit(" |")),
+    ]
+    return _rules(_orders_pages(spark, sf, F.array_join(F.array(*parts), "\n")), "structure")
+
+
+@query("""SELECT o_orderkey AS doc_id, rule FROM orders JOIN (VALUES ('special_row_probable_left_compaction', 2), ('contribution_amount_shifted', 3), ('repeated_numeric_tracks_merged', 5), ('tax_axis_demoted_to_data', 7), ('mixed_tax_row_shifted', 11), ('technical_map_comment_leaked', 13), ('financial_data_in_markdown_header', 17)) v(rule, every) ON o_orderkey % every = 0""")
+def regression_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items, a fee row and a tax matrix of each order, with rows moved at certain keys; all regressions found."""
+    key, amount = F.col("o_orderkey"), corpora.comma(F.col("o_totalprice"))
+    off = lambda every, wrong, right="": F.when(key % every == 0, wrong).otherwise(right)
+    row = lambda *cells: F.concat(F.lit("| "), F.concat_ws(" | ", *[F.lit(c) if isinstance(c, str) else c for c in cells]), F.lit(" |"))
+    parts = [
+        F.lit("| DESIGNATION | QTE | PRIX UNIT | P.U. NET | [SANS_ENTETE_1] | MONTANT | TVA |\n|---|---|---|---|---|---|---|"),
+        row("Vis", off(5, "2 10", "2"), "3,00", "3,00", "", amount, "20 %"), row("Clou", off(5, "2 11", "2"), "3,00", "3,00", "", amount, "20 %"),
+        row("Eco-contribution", "1 pc", "0,10", off(2, "taxe", "0,10"), "", "0,10", "20 %"), row("Redevance", "", "", "", "", off(3, "voir", "0,20"), off(3, "0,20", "20 %")),
+        F.lit(""), off(13, "<!-- GRID_MAP tracks=7 -->"), F.lit(""), row(off(7, "[SANS_ENTETE_1]", "CODES TVA"), "SOUMIS", "EXONERE", off(17, "TOTAL TTC", "BASE")), F.lit("|---|---|---|---|"),
+        row(off(7, "Codes TVA", "A"), "1", "2", "3"), row(off(11, "A", ""), "TOTAL HT", "", amount),
+    ]
+    return _rules(_orders_pages(spark, sf, F.array_join(F.array(*parts), "\n")), "regression")
+
+
+@query("""SELECT conv_id AS doc_id, sha256(string_agg('## OCR brut — Page ' || turn, chr(10) ORDER BY turn)) AS pages, sha256(string_agg(trim(text, chr(10)), chr(10) || chr(10) ORDER BY turn)) AS digest, CAST(2 * count(*) AS INTEGER) AS n_reasonings FROM conversations GROUP BY 1""")
+def closing_annexes(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with transcripts and reasonings in closing annexes, taken apart again."""
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("page"), F.col("text").alias("markdown"), F.col("text").alias("audit"), F.col("role").alias("why"))
+    docs = state.assemble_documents(turns, closing_annex=True, thinking={"ocr_reasoning": "why", "markdown_reasoning": "markdown"})
+    headings = F.regexp_extract_all(state.transcript_annex("document"), F.lit(r"(?m)^(## OCR brut — Page \d+)$"), F.lit(1))
+    return docs.select("doc_id", t.sha256_text(F.array_join(headings, "\n")).alias("pages"), t.sha256_text(state.rendered_document("document")).alias("digest"), F.size(F.regexp_extract_all(state.thinking_annex("document"), F.lit("<!-- THINKING_META page="), F.lit(0))).alias("n_reasonings"))
 
 
 def _table_of(*rows: str) -> str:
@@ -298,14 +370,14 @@ def _table_of(*rows: str) -> str:
 def financial_pair_lost(spark: SparkSession, sf: str) -> DataFrame:
     audit = F.lit("[[VISUAL_TABLE id=T1]]\n" + _table_of("LIBELLE|MONTANT", "TOTAL HT|125,50 €") + "[[/VISUAL_TABLE]]")
     md = F.concat(F.lit("| LIBELLE | MONTANT |\n|---|---|\n| Total HT | "), F.when(F.col("o_orderkey") % 6 == 0, "999,00 €").otherwise("125,50 €"), F.lit(" |"))
-    return _rules(_orders_pages(spark, sf, md, audit), "financial_pair_lost", groups=("cross",), audit="audit")
+    return _rules(_orders_pages(spark, sf, md, audit), "cross", audit="audit")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'bank_identifier_not_supported_by_ocr' AS rule FROM orders WHERE o_orderkey % 4 = 1""")
 def iban_not_supported(spark: SparkSession, sf: str) -> DataFrame:
     iban = F.concat(F.lit("DE89 3704 0044 "), F.lpad((F.col("o_orderkey") % 10_000).cast("string"), 4, "0"), F.lit(" 0130 00"))
     audit = F.concat(F.lit("[[TEXT_BLOCK id=B1]]\n"), F.when(F.col("o_orderkey") % 4 == 1, "IBAN illisible").otherwise(iban), F.lit("\n[[/TEXT_BLOCK]]"))
-    return _rules(_orders_pages(spark, sf, F.concat(F.lit("IBAN : "), iban), audit), "bank_identifier_not_supported_by_ocr", groups=("cross",), audit="audit")
+    return _rules(_orders_pages(spark, sf, F.concat(F.lit("IBAN : "), iban), audit), "cross", audit="audit")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'truncated_value_marker_lost' AS rule FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT o_orderkey, 'truncated_text_marker_lost' FROM orders WHERE o_orderkey % 3 = 0""")
@@ -313,7 +385,7 @@ def truncation_marker_lost(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     audit = F.lit("[[VISUAL_TABLE id=T1]]\n" + _table_of("REF|DESIGNATION", "AB12|Grand rou[TRONQUE]") + "[[/VISUAL_TABLE]]\n[[TEXT_BLOCK id=B1 state=truncated]]\nConditions gén[TRONQUE]\n[[/TEXT_BLOCK]]")
     md = F.concat(F.lit("| REF | DESIGNATION |\n|---|---|\n| AB12 | Grand rou"), F.when(key % 5 == 0, "").otherwise("[TRONQUÉ]"), F.lit(" |\n\nConditions gén"), F.when(key % 3 == 0, "").otherwise("[TRONQUÉ]"))
-    return _rules(_orders_pages(spark, sf, md, audit), "truncated_value_marker_lost", "truncated_text_marker_lost", groups=("cross",), audit="audit")
+    return _rules(_orders_pages(spark, sf, md, audit), "cross", audit="audit")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'uncertain_ocr_became_certain' AS rule FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT o_orderkey, 'accounting_text_pair_lost' FROM orders WHERE o_orderkey % 5 = 0""")
@@ -321,7 +393,7 @@ def text_block_findings(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     audit = F.lit("[[TEXT_BLOCK id=B1 state=uncertain]]\nLivré par Martin\n[[/TEXT_BLOCK]]\n[[TEXT_BLOCK id=B2]]\nRemise 12,50 EURO\n[[/TEXT_BLOCK]]")
     md = F.concat(F.lit("Livré par Martin"), F.when(key % 4 == 0, "").otherwise(" [INCERTAIN]"), F.lit("\n\nRemise "), F.when(key % 5 == 0, "13,50 €").otherwise("12,50 €"))
-    return _rules(_orders_pages(spark, sf, md, audit), "uncertain_ocr_became_certain", "accounting_text_pair_lost", groups=("cross",), audit="audit")
+    return _rules(_orders_pages(spark, sf, md, audit), "cross", audit="audit")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'ocr_repeated_track_missing' AS rule FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'special_row_track_shift' FROM orders WHERE o_orderkey % 3 = 1""")
@@ -333,7 +405,7 @@ def matched_table_findings(spark: SparkSession, sf: str) -> DataFrame:
     audit = F.when(key % 3 == 0, wide).otherwise(shift)
     row = F.when(key % 3 == 1, "| Eco-contribution |  | 0,40 |  |").otherwise("| Eco-contribution |  |  | 0,40 |")
     md = F.concat(F.lit("| DESIGNATION | QTE | PU | MONTANT |\n|---|---|---|---|\n| Vis | 2 | 3,00 | 6,00 |\n"), row)
-    return _rules(_orders_pages(spark, sf, md, audit), "ocr_repeated_track_missing", "special_row_track_shift", groups=("cross",), audit="audit")
+    return _rules(_orders_pages(spark, sf, md, audit), "cross", audit="audit")
 
 
 @query("""SELECT o_orderkey AS doc_id, o_orderkey % 3 <> 0 AS ok, CAST(CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_warnings, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_critical FROM orders""")

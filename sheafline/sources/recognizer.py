@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sheafline.functions import text as t
+from sheafline.operators.markdown import tidy_markdown
+
+#: What a reader answers for a page without content; it is never asked again for it.
+BLANK = "[PAGE VIDE]"
+_TOKEN_LINE = re.compile(t.MODEL_PAGE)
 
 
 class Recognizer(Protocol):
@@ -35,3 +44,48 @@ def recognize(requests: DataFrame, make: Callable[[], Recognizer]) -> DataFrame:
             yield batch[["doc_id", "page"]].assign(response=[a for a, _ in answers], usage=[u for _, u in answers])
 
     return requests.select("doc_id", "page", "request").mapInPandas(run, "doc_id long, page int, response string, usage string")
+
+
+def _length(answer: str) -> int:
+    """Characters of an answer without its code fence and page tokens; a blank page counts as long enough."""
+    body = re.sub(r"\A```[\w-]*\n?|\n?```\n?\Z", "", answer.strip(), flags=re.ASCII) if answer.strip().startswith("```") else answer
+    shown = "\n".join(x for x in body.splitlines() if not _TOKEN_LINE.match(x)).strip()
+    return 10**9 if shown == BLANK else len(shown)
+
+
+def read_then_write(requests: DataFrame, reader: Callable[[], Recognizer], writer: Callable[[], Recognizer], ask: Callable[[Column, Column], Column], least_chars: int = 40, retries: int = 2) -> DataFrame:
+    """(doc_id, page, text, text_usage, too_short, markdown, markdown_usage): the page's text first, then Markdown from that text alone.
+
+    The reader is asked up to ``retries`` times more while its answer has under ``least_chars`` characters; the last answer
+    counts. A page that stays too short gets no Markdown (null). ``ask(page, text)`` is the writer's request. Null requests
+    are asked as ''. Both passes are narrow, so a page costs its calls once; write the result before using it twice.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = reader()
+        for batch in batches:
+            answers = []
+            for request in batch["request"]:
+                answer = model(request)
+                for _ in range(retries):
+                    if _length(answer[0]) >= least_chars:
+                        break
+                    answer = model(request)
+                answers.append((*answer, _length(answer[0]) < least_chars))
+            texts, usages, short = zip(*answers, strict=True) if answers else ((), (), ())
+            yield batch[["doc_id", "page"]].assign(answer=list(texts), text_usage=list(usages), too_short=list(short))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = writer()
+        for batch in batches:
+            answers = [(None, None) if short else model(r) for short, r in zip(batch["too_short"], batch["request"], strict=True)]
+            yield batch.drop(columns="request").assign(answer=[a for a, _ in answers], markdown_usage=[u for _, u in answers])
+
+    asked = requests.select("doc_id", "page", t.text("request").alias("request"))
+    first = asked.mapInPandas(read, "doc_id long, page int, answer string, text_usage string, too_short boolean")
+    shown = t.strip_model_page_tokens(t.normalize_placeholders(t.strip_triple_backticks("answer")))
+    first = first.select("doc_id", "page", shown.alias("text"), "text_usage", "too_short")
+    second = first.withColumn("request", ask(F.col("page"), F.col("text")))
+    kept = "doc_id long, page int, text string, text_usage string, too_short boolean"
+    done = second.mapInPandas(write, f"{kept}, answer string, markdown_usage string")
+    return done.select("doc_id", "page", "text", "text_usage", "too_short", F.when(~F.col("too_short"), tidy_markdown("answer")).alias("markdown"), "markdown_usage")

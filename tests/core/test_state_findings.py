@@ -102,6 +102,44 @@ def test_assembly(spark):
     assert one(spark, state.transcript_annex, doc)[0].count("## OCR visuel indépendant — Page ") == 2 and one(spark, state.thinking_annex, doc) == [""]
 
 
+def test_closing_annexes(spark):
+    rows = [(1, 2, "two\n", "b", None, "w" * 5), (1, 1, "one", "a <!-- OCR_ANNEX_END --> ```` a\n", "x\n", ""), (2, 1, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "doc_id long, page int, markdown string, audit string, why string, also string")
+    docs = {r["doc_id"]: r["document"] for r in state.assemble_documents(pages, closing_annex=True, thinking={"ocr_reasoning": "why", "markdown_reasoning": "also"}).collect()}
+    doc = docs[1]
+    assert doc.startswith("<!-- RENDERED_DOCUMENT_START -->\n\none\n\ntwo\n\n<!-- RENDERED_DOCUMENT_END -->\n\n# Annexe d'audit — OCR visuel indépendant\n\n<!-- OCR_ANNEX_START") and doc.endswith("````\n\n<!-- THINKING_ANNEX_END -->\n")
+    assert "\n\n## OCR brut — Page 1\n\n<!-- RAW_OCR_META page=1 raw_chars=32 " in doc and "-->\n\n`````text\na <!-- OCR_ANNEX_END --> ```` a\n`````\n\n## OCR brut — Page 2\n\n" in doc
+    assert one(spark, state.rendered_document, doc) == ["one\n\ntwo"]
+    annex, why = one(spark, state.transcript_annex, doc)[0], one(spark, state.thinking_annex, doc)[0]
+    assert annex.startswith("Cette annexe") and annex.endswith("````text\nb\n````")
+    assert why.count("##### ") == 4 and "stage=ocr_reasoning chars=0 sha256=none truncated=no -->\n\n````text\n[AUCUN REASONING_CONTENT RETOURNÉ]\n````" in why and "````text\nx\n````" in why
+    assert "sha256=none" in docs[2] and one(spark, state.rendered_document, docs[2]) == [""]
+    short = spark.range(1).select(state.thinking_block(F.lit(1), {"ocr_reasoning": F.lit("abcdef"), "markdown_reasoning": F.lit("abc")}, most=4)).first()[0]
+    assert "chars=6" in short and "truncated=yes" in short and "````text\nab\n\n[..." in short and "\n\nef\n````" in short
+
+
+def test_read_then_write(spark):
+    class Reader:
+        def __init__(self):
+            self.calls = 0
+
+        def __call__(self, request):
+            self.calls += 1
+            return {"short": ("x", "{}"), "blank": ("[[PAGE 1]]\n[PAGE VIDE]", "{}"), "": ("", "{}")}.get(request, ("```text\n" + "a" * 40 + "\n```" if self.calls > 2 else "```\n" + " " * 50 + "\n```", str(self.calls)))
+
+    class Writer:
+        def __call__(self, request):
+            return f"```markdown\n<!-- PAGE 1 -->\n# {request}\n| A | [SANS_ENTETE_1] |\n|---|---|\n| 1 |  |\n```", "{}"
+
+    rows = [(1, 1, "late"), (2, 1, "short"), (3, 1, "blank"), (4, 1, None)]
+    asked = spark.createDataFrame(rows, "doc_id long, page int, request string").coalesce(1)
+    got = {r["doc_id"]: r for r in recognizer.read_then_write(asked, Reader, Writer, lambda page, text: F.concat(page.cast("string"), F.lit(":"), text)).collect()}
+    assert (got[1]["text"], got[1]["text_usage"], got[1]["too_short"]) == ("a" * 40, "3", False)
+    assert got[1]["markdown"].startswith("# 1:" + "a" * 40 + "\n| A |") and "SANS_ENTETE" not in got[1]["markdown"]
+    assert [(got[i]["too_short"], got[i]["markdown"] is None) for i in (2, 3, 4)] == [(True, True), (False, False), (True, True)]
+    assert got[3]["text"] == "[PAGE VIDE]" and recognizer.read_then_write(asked.limit(0), Reader, Writer, lambda page, text: text).count() == 0
+
+
 def test_transport(spark):
     rows = spark.createDataFrame([(429, "", 1), (400, "", 1), (None, "overloaded", 2), (500, "Invalid API key", 1), (503, "", 3), (None, "", 2)], "s int, m string, a int")
     got = [tuple(r[0]) for r in rows.select(transport.retry_policy(F.col("s"), F.col("m"), F.col("a"))).collect()]
