@@ -97,7 +97,8 @@ def token_counts(documents: DataFrame, path: str = PIECE_MODEL) -> DataFrame:
 
     Words (between Unicode white space) are marked and counted on their own, each distinct word of a worker
     once while it is remembered. The result equals that tokenizer's own count, ties included.
-    Null, empty and blank texts have 0 tokens. No shuffle; other columns pass through, n_tokens is replaced.
+    Null, empty and blank texts have 0 tokens. Repeated rows count alike, very long texts are counted whole, an empty
+    table gives no rows. No shuffle; other columns pass through, n_tokens is replaced.
     """
     kept = [c for c in documents.columns if c != "n_tokens"]
     return documents.select(*kept, text_bytes().alias("_bytes")).mapInArrow(_counted(path), documents.select(*kept).schema.add("n_tokens", "long"))

@@ -100,13 +100,3 @@ def test_pipeline(spark):
     last = p.STAGES[-1][1](spark, stage, sf)
     assert counts[0] < docs.count() and counts[1] == counts[0] and counts[2] < counts[1] and last.count() == counts[3]
     assert sorted(r["doc_id"] for r in p.run(spark, sf).collect()) == sorted(r["doc_id"] for r in last.collect())
-
-
-def test_pipeline_of_odd_and_no_rows(spark, odd_documents, no_documents):
-    import corpus_pipeline as p
-
-    sf = "/root/testdata/sf0.001"
-    for docs in (odd_documents, no_documents):
-        for _, f in p.STAGES:
-            docs = f(spark, docs, sf) if f is p.packing else spark.createDataFrame(f(spark, docs, sf).collect(), docs.schema)
-        assert docs.count() >= 0
