@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm import language_id, quality
+from sheafline.llm.collocations import collocations
 from sheafline.llm.common import fold
 from sheafline.llm.fertility import fertility
 from sheafline.llm.line_dedup import dedup_lines
 from sheafline.llm.mixing import mix_sources
 from sheafline.llm.near_dedup import near_duplicates
 from sheafline.llm.packing import counted, pack
+from sheafline.llm.resampling import importance_resample
 from sheafline.llm.token_counts import token_counts
 from sheafline.llm.topk import exact_top_k
 from sheafline.llm.url_filter import RULES, judge_urls
+from sheafline.llm.vector_dedup import vector_links
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +72,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), least=10, longest=3, within=50, first=2000)
+
+
+def op12_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=5, least_words=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_neighbour_quality,
         op10_top_k,
+        op11_phrase_collocations,
+        op12_embedding_duplicates,
+        op13_importance_resampling,
     )
     return {f.__name__: f for f in (*ops, pipeline)}
 
@@ -115,6 +133,30 @@ ORACLE = {
  s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
  k AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
  SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5""",
+    "op11_phrase_collocations": rf"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+ p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM d),
+ g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM p
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM p
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM p),
+ f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+ n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+ c AS (SELECT *, split_part(phrase, ' ', 1) AS x, split_part(phrase, ' ', 2) AS y, split_part(phrase, ' ', 3) AS z FROM f WHERE k > 1 AND a >= 10),
+ o AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, x || ' ' || y AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, y || ' ' || z, a FROM c WHERE k = 3) GROUP BY lang, phrase),
+ q AS (SELECT c.*, 1 AS cut, x AS one, CASE WHEN k = 2 THEN y ELSE y || ' ' || z END AS two FROM c UNION ALL SELECT c.*, 2, x || ' ' || y, z FROM c WHERE k = 3),
+ s AS (SELECT q.lang, q.k, q.phrase, q.a, cut, i.a AS l, j.a AS r, CAST(1000000 * CAST(q.a AS HUGEINT) * q.a // (CAST(i.a AS HUGEINT) * j.a) AS BIGINT) AS score
+  FROM q JOIN f AS i ON i.lang = q.lang AND i.phrase = one JOIN f AS j ON j.lang = q.lang AND j.phrase = two),
+ b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS least FROM s),
+ t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b LEFT JOIN o ON b.k = 2 AND o.lang = b.lang AND o.phrase = b.phrase
+  WHERE least = 1 AND coalesce(100 * longer < 50 * a, true))
+ SELECT lang, rank, phrase, a, l, r, n, score FROM t JOIN n USING (lang) WHERE rank <= 2000""",
+    "op12_embedding_duplicates": """WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v AS x JOIN v AS y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+ r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+ c AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+ SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id, vec_id <= coalesce(c.least, vec_id) AS kept
+ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id""",
 }
 
 
