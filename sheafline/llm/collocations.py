@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import count, repeat
 from zlib import crc32
 
 import numpy as np
@@ -20,11 +19,13 @@ from sheafline.llm.common import slices, stored, text_bytes
 ENDS, END = b".,;:!?\n\x0b\x0c\r", b"A"
 CLEAN = bytes(END[0] if c in ENDS else c + 32 if 65 <= c <= 90 else 32 if c == 9 else c for c in range(256))
 #: Words whose inverted lists a task holds at once, about; a text's stretch between two piece ends is never divided.
-SEGMENT_WORDS = 3_000_000
+SEGMENT_WORDS = 2_000_000
 #: Bytes of one text that are split into words at once.
 RUN_BYTES = 2_000_000
-#: Bits of the filter that tells which phrases of one level can be extended (8 MB, whatever the corpus).
-FILTER_BITS = 1 << 26
+#: Bits of the filter that tells which phrases of one level can be extended (8 MB, whatever the corpus): a prime just below 2**26.
+FILTER_BITS = 67_108_859
+#: What a language's and a phrase's words add to its bit, times their crc32; products stay below 2**62.
+LANG_FACTOR, WORD_FACTORS = 998_244_353, (776_531_401, 1_004_535_809)
 #: Rows of a batch that goes back to Spark.
 BATCH = 100_000
 #: Candidates of a language that one task ranks, about.
@@ -34,41 +35,35 @@ _COUNTED = "lang string, phrase string, n long"
 
 
 class Postings:
-    """The inverted lists of a segment of one language: for each word the positions where it stands, in ascending order.
+    """The inverted lists of a segment of one language, merged: which word stands at each position.
 
-    Words of a piece have consecutive positions, pieces are one position apart. The lists stand in one array sorted by
-    (word, position); :meth:`extended` joins occurrences of phrases with the lists of the words that may follow.
+    A word's list are the positions where it stands, ascending; words of a piece have consecutive positions, pieces are one position
+    apart. :meth:`lists` gives the lists of some words merged in order of positions, ready for :func:`merge_join`.
     """
 
     def __init__(self) -> None:
-        self.ids: dict[bytes, int] = {END: 0}
-        self._next = count(1)
-        self._runs: list[np.ndarray] = []
+        self._runs: list[bytes] = []
         self.size = 0
 
     def add(self, text: bytes) -> None:
-        words = [*text.replace(END, b" A ").split(), END]
-        ids, new = self.ids, self._next
-        for w in set(words).difference(ids):
-            ids[w] = next(new)
-        self._runs.append(np.fromiter(map(ids.__getitem__, words), np.int64, len(words)))
-        self.size += len(words)
+        if words := text.replace(END, b" A ").split():
+            self._runs.append(b" ".join(words))
+            self.size += len(words) + 1
 
     def close(self) -> None:
-        at = np.concatenate(self._runs)
+        data = b"A " + b" A ".join([*self._runs, b""])
         self._runs.clear()
-        self.positions = np.argsort(at, kind="stable")
-        self.lengths = np.bincount(at, minlength=len(self.ids))
-        self.positions = self.positions[self.lengths[0] :]  # piece ends are no words
-        self.words = np.repeat(np.arange(1, len(self.ids)), self.lengths[1:])
-        self.names = pa.array(list(self.ids), pa.binary())
+        ends = np.append(0, np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1)  # each word with the space after it
+        offsets = pa.array(ends, pa.int32()).buffers()[1]
+        coded = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        self._at = coded.indices.to_numpy()
+        self.names = [w[:-1] for w in coded.dictionary.to_pylist()]  # the first is the piece end
+        self.lengths = np.bincount(self._at, minlength=len(self.names))
 
-    def kept(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, words) of the lists of words marked in ``some``, merged in order of positions."""
-        mark = some[self.words]
-        positions, words = self.positions[mark], self.words[mark]
-        order = np.argsort(positions, kind="stable")
-        return positions[order], words[order]
+    def lists(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, words) of the lists of the words marked in ``some``."""
+        positions = np.flatnonzero(some[self._at])
+        return positions, self._at[positions].astype(np.int64)
 
 
 def merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,15 +74,11 @@ def merge_join(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(met), at[met]
 
 
-def in_filter(bits: np.ndarray, lang: bytes, phrases: pa.Array) -> np.ndarray:
-    """Which phrases a level's filter lets through: all frequent ones, and some others that share a bit with one."""
-    start = crc32(lang + b"\n")
-    h = np.empty(len(phrases), np.uint32)
-    for k in range(0, len(h), BATCH):
-        some = phrases[k : k + BATCH].to_pylist()
-        h[k : k + BATCH] = np.fromiter(map(crc32, some, repeat(start)), np.uint32, len(some))
-    h %= np.uint32(FILTER_BITS)
-    return (bits[h >> np.uint32(3)] >> (h & np.uint32(7)).astype(np.uint8)) & 1 == 1
+def in_filter(bits: np.ndarray, lang: bytes, *words: np.ndarray) -> np.ndarray:
+    """Which phrases a level's filter lets through, by the crc32 of their words: all frequent ones, and some others that share a bit with one."""
+    h = crc32(lang) * LANG_FACTOR + sum(w * f % FILTER_BITS for w, f in zip(words, WORD_FACTORS, strict=False))
+    h %= FILTER_BITS
+    return (bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1
 
 
 def _joined(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -96,25 +87,27 @@ def _joined(left: pa.Array, right: pa.Array) -> pa.Array:
 
 def _lists(postings: Postings, lang: bytes, level: int, word_bits, pair_bits) -> tuple[pa.Array, np.ndarray]:
     """(phrases of ``level`` words, lengths of their occurrence lists) in one segment."""
-    names = postings.names
+    names, n = pa.array(postings.names, pa.binary()), len(postings.names)
     if level == 1:
         return names[1:], postings.lengths[1:]
-    some = np.append(False, in_filter(word_bits, lang, names[1:]))
-    positions, words = postings.kept(some)
+    sums = np.fromiter(map(crc32, postings.names), np.int64, n)
+    some = in_filter(word_bits, lang, sums)
+    some[0] = False  # piece ends are no words
+    positions, words = postings.lists(some)
     # occurrences of words, extended by the lists of the words one position on
     first, second = merge_join(positions + 1, positions)
-    starts = positions[first]
-    pairs, pair, lengths = np.unique(words[first] * len(names) + words[second], return_inverse=True, return_counts=True)
-    phrases = _joined(names.take(pa.array(pairs // len(names))), names.take(pa.array(pairs % len(names))))
+    named = lambda x: names.take(pa.array(x))
     if level == 2:
-        return phrases, lengths
-    fine = in_filter(pair_bits, lang, phrases)[pair]
-    starts, pair = starts[fine], pair[fine]
-    # occurrences of frequent pairs, extended by the lists of the words two positions on; the last two words are a frequent pair as well
-    head, tail = merge_join(starts + 1, starts)
-    third = pairs[pair[tail]] % len(names)
-    triples, lengths = np.unique(pair[head] * len(names) + third, return_counts=True)
-    return _joined(phrases.take(pa.array(triples // len(names))), names.take(pa.array(triples % len(names)))), lengths
+        pairs, lengths = np.unique(words[first] * n + words[second], return_counts=True)
+        return _joined(named(pairs // n), named(pairs % n)), lengths
+    fine = in_filter(pair_bits, lang, sums[words[first]], sums[words[second]])
+    first, second = first[fine], second[fine]
+    # occurrences of frequent pairs, extended by the lists of the words two positions on; the last two words must be a frequent pair as well
+    head, tail = merge_join(positions[second], positions[first])
+    pairs, pair = np.unique(words[first[head]] * n + words[second[head]], return_inverse=True)
+    triples, lengths = np.unique(pair * n + words[second[tail]], return_counts=True)
+    front = pairs[triples // n]
+    return _joined(_joined(named(front // n), named(front % n)), named(triples % n)), lengths
 
 
 def _stretches(text: bytes) -> Iterator[bytes]:
@@ -155,12 +148,15 @@ def frequencies(texts: DataFrame, level: int, word_bits=None, pair_bits=None) ->
     return texts.mapInArrow(_level(level, word_bits, pair_bits), _COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def phrase_filter(phrases: DataFrame) -> np.ndarray:
-    """The bit of every phrase (crc32 of language and phrase) as bytes: the driver gets one number for each 32 bits at most, whatever their number."""
-    bit = F.pmod(F.crc32(F.concat_ws("\n", "lang", "phrase").cast("binary")), F.lit(FILTER_BITS))
-    byte = phrases.groupBy(F.shiftright(bit, 5).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(32)).cast("int"))).alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    out[byte["at"].to_numpy()] = byte["bits"].to_numpy().astype(np.uint32)
+def phrase_filter(phrases: DataFrame, words: int) -> np.ndarray:
+    """The bits of phrases of one or two words, as bytes: the driver gets one number for each 32 bits at most, whatever the number of phrases."""
+    term = lambda x, factor: F.crc32(x.cast("binary")) * factor
+    of = [F.substring_index("phrase", " ", 1), F.substring_index("phrase", " ", -1)][:words]
+    bit = F.pmod(term(F.col("lang"), LANG_FACTOR) + sum((F.pmod(term(w, f), F.lit(FILTER_BITS)) for w, f in zip(of, WORD_FACTORS, strict=False)), F.lit(0)), F.lit(FILTER_BITS))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bit", F.lit(32)).cast("int"))).alias("bits")
+    found = phrases.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("at")).agg(bits).toArrow()
+    out = np.zeros(FILTER_BITS // 32 + 1, np.uint32)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return out.astype("<u4").view(np.uint8)
 
 
@@ -201,7 +197,7 @@ def collocations(documents: DataFrame, least: int = 10, longest: int = 3, within
     enough = F.col("n") >= least
     words = stored(frequencies(texts, 1), "word-counts")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    word_bits = context.broadcast(phrase_filter(words.where(enough)))
+    word_bits = context.broadcast(phrase_filter(words.where(enough), 1))
     pairs = stored(frequencies(texts, 2, word_bits).where(enough), "pair-counts")
     frequent = words.where(enough)
     cut = lambda i: F.substring_index("phrase", " ", i)
@@ -210,7 +206,7 @@ def collocations(documents: DataFrame, least: int = 10, longest: int = 3, within
     found = found.join(sides(frequent, "w1", "l1"), ["lang", "w1"]).join(sides(frequent, "w2", "r1"), ["lang", "w2"]).drop("w1", "w2")
     found = found.withColumns({"l2": F.col("l1"), "r2": F.col("r1")})
     if longest == 3:
-        pair_bits = context.broadcast(phrase_filter(pairs))
+        pair_bits = context.broadcast(phrase_filter(pairs, 2))
         triples = stored(frequencies(texts, 3, word_bits, pair_bits).where(enough), "triple-counts")
         longer = triples.select("lang", F.explode(F.array(cut(2), cut(-2))).alias("phrase"), "n").groupBy("lang", "phrase").agg(F.max("n").alias("longer"))
         found = found.join(longer, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < within * F.col("a"))).drop("longer")
