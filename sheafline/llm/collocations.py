@@ -19,7 +19,7 @@ from sheafline.llm.common import slices, stored, text_bytes
 ENDS, END = b".,;:!?\n\x0b\x0c\r", b"A"
 CLEAN = bytes(END[0] if c in ENDS else c + 32 if 65 <= c <= 90 else 32 if c == 9 else c for c in range(256))
 #: Words whose inverted lists a task holds at once, about; a text's stretch between two piece ends is never divided.
-SEGMENT_WORDS = 2_000_000
+SEGMENT_WORDS = 1_000_000
 #: Bytes of one text that are split into words at once.
 RUN_BYTES = 2_000_000
 #: Bits of the filter that tells which phrases of one level can be extended (8 MB, whatever the corpus): a prime just below 2**26.
