@@ -268,18 +268,36 @@ def shorten(c: Column | str, most: int = 150_000) -> Column:
     return F.struct(F.when(long, F.concat(F.left(v, F.lit(half)), note, F.right(v, F.lit(half)))).otherwise(v).alias("value"), long.alias("shortened"))
 
 
-def outside_fences(c: Column | str) -> Column:
-    """array<struct<line, inside, fence>>: each line with whether a code fence encloses it (a fence of ``` or ~~~ closes only itself)."""
-    start = F.struct(F.lit("").alias("open"), F.array().cast("array<struct<line:string,inside:boolean,fence:boolean>>").alias("out"))
+#: A fence line and all up to the next line that begins with the same mark, or the end.
+_FENCED = r"(?ms)^[^\S\n]*(```|~~~)(?:[^\n]*\z|[^\n]*\n(?:.*?^[^\S\n]*\1[^\n]*$|.*\z))"
+
 
-    def step(acc: Column, x: Column) -> Column:
-        mark = F.regexp_extract(x, r"^\s*(```|~~~)", 1)
-        is_fence = mark != ""
-        now = F.when(is_fence & (acc["open"] == ""), mark).when(is_fence & F.startswith(F.ltrim(x), acc["open"]), "").otherwise(acc["open"])
-        row = F.struct(x.alias("line"), (acc["open"] != "").alias("inside"), is_fence.alias("fence"))
-        return F.struct(now.alias("open"), F.concat(acc["out"], F.array(row)).alias("out"))
+def outside_fences(c: Column | str) -> Column:
+    """array<struct<line, inside, fence>>: each line with whether a code fence encloses it (a fence of ``` or ~~~ closes only itself).
 
-    return F.aggregate(lines(text(c)), start, step, lambda acc: acc["out"])
+    Fenced stretches are cut out by one pattern from left to right and the lines of either kind put together again in turn.
+    """
+    row = lambda x, inside, fence: F.struct(x.alias("line"), inside.alias("inside"), fence.alias("fence"))
+
+    def of_gap(gap: Column, first: Column, last: Column) -> Column:
+        # what stands between two fenced stretches begins and ends with a line break that belongs to neither
+        bare = F.when(first, gap).otherwise(F.substring(gap, F.lit(2), F.length(gap)))
+        bare = F.when(last, bare).otherwise(F.left(bare, F.greatest(F.length(bare) - 1, F.lit(0))))
+        some = F.when((gap == "") | (~first & ~last & (gap == "\n")), F.array().cast("array<string>")).otherwise(F.split(bare, "\n", -1))
+        return F.transform(some, lambda x: row(x, F.lit(False), F.lit(False)))
+
+    def of_block(block: Column) -> Column:
+        mark = F.regexp_extract(block, r"^[^\S\n]*(```|~~~)", 1)
+        inner = F.split(block, "\n", -1)
+        return F.transform(inner, lambda x, i: row(x, i > 0, F.regexp_extract(x, r"^\s*(```|~~~)", 1) != "")) if mark is not None else inner
+
+    def joined(v: Column, gaps: Column, blocks: Column) -> Column:
+        n = F.size(gaps)
+        each = F.transform(gaps, lambda g, i: F.concat(of_gap(g, i == 0, i == n - 1), F.when(i < n - 1, of_block(F.get(blocks, i))).otherwise(F.array().cast("array<struct<line:string,inside:boolean,fence:boolean>>"))))
+        return F.when(v == "", F.array().cast("array<struct<line:string,inside:boolean,fence:boolean>>")).otherwise(F.flatten(each))
+
+    v = F.array_join(lines(text(c)), "\n")
+    return let(v, lambda v: let(F.split(v, _FENCED, -1), lambda gaps: let(F.regexp_extract_all(v, F.lit(_FENCED), F.lit(0)), lambda blocks: joined(v, gaps, blocks))))
 
 
 def strip_page_markers_outside_fences(c: Column | str) -> Column:

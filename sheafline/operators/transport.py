@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.functions.text import text
+from sheafline.functions.text import let, text
 
 # ---- fixed values: crops of a page (label, left, top, right, bottom as shares) --------------
 AUDIT_VIEWS = [("full", 0.0, 0.0, 1.0, 1.0), ("upper", 0.0, 0.0, 1.0, 0.55), ("lower", 0.0, 0.45, 1.0, 1.0), ("right", 0.45, 0.0, 1.0, 1.0)]
@@ -87,30 +87,30 @@ def view_specifications(spark: SparkSession, stage: str, rank: int = 0) -> DataF
 
 
 def sse_events(stream: Column | str) -> Column:
-    """array<string>: the data of each server-sent event. Comments are skipped, data lines of one event joined, and bare JSON or [DONE] lines tolerated."""
-    start = F.struct(F.array().cast("array<string>").alias("open"), F.array().cast("array<string>").alias("out"))
+    """array<string>: the data of each server-sent event. Comments are skipped, data lines of one event joined, and bare JSON or [DONE] lines tolerated.
 
-    def flushed(acc: Column) -> Column:
-        return F.when(F.size(acc["open"]) > 0, F.concat(acc["out"], F.array(F.array_join(acc["open"], "\n")))).otherwise(acc["out"])
-
-    def step(acc: Column, x: Column) -> Column:
-        data = F.when(F.startswith(x, F.lit("data:")), F.ltrim(F.substring(x, F.lit(6), F.length(x)))).when(x.rlike(r"^\s*(\{|\[DONE\])") & ~F.startswith(x, F.lit(":")), F.trim(x))
-        return F.struct(F.when(x == "", F.array().cast("array<string>")).when(data.isNotNull(), F.concat(acc["open"], F.array(data))).otherwise(acc["open"]).alias("open"), F.when(x == "", flushed(acc)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(F.split(text(stream), r"\r\n|\n|\r", -1), start, step, flushed)
+    Blank lines divide events, so each is a piece of the text between them.
+    """
+    data = lambda x: F.when(F.startswith(x, F.lit("data:")), F.ltrim(F.substring(x, F.lit(6), F.length(x)))).when(x.rlike(r"^\s*(\{|\[DONE\])") & ~F.startswith(x, F.lit(":")), F.trim(x))
+    found = lambda piece: F.array_compact(F.transform(F.split(piece, "\n", -1), data))
+    pieces = F.split(F.regexp_replace(text(stream), r"\r\n|\r", "\n"), r"\n{2,}", -1)
+    return F.transform(F.filter(F.transform(pieces, found), lambda e: F.size(e) > 0), lambda e: F.array_join(e, "\n"))
 
 
 def stream_text(stream: Column | str) -> Column:
-    """struct<content, reasoning, finish_reason, error> accumulated over the events of a response."""
-    events = F.filter(sse_events(stream), lambda e: e != "[DONE]")
-    joined = lambda path: F.array_join(F.transform(events, lambda e: F.coalesce(F.get_json_object(e, path), F.lit(""))), "")
-    last = F.element_at(F.array_compact(F.transform(events, lambda e: F.get_json_object(e, "$.choices[0].finish_reason"))), -1)
-    return F.struct(
-        joined("$.choices[0].delta.content").alias("content"),
-        joined("$.choices[0].delta.reasoning_content").alias("reasoning"),
-        F.when(F.size(F.array_compact(F.transform(events, lambda e: F.get_json_object(e, "$.choices[0].finish_reason")))) > 0, last).alias("finish_reason"),
-        F.get(F.filter(F.transform(events, stream_error), lambda m: m != ""), F.lit(0)).alias("error"),
-    )
+    """struct<content, reasoning, finish_reason, error> accumulated over the events of a response, which are taken apart once."""
+
+    def of(events: Column) -> Column:
+        joined = lambda path: F.array_join(F.transform(events, lambda e: F.coalesce(F.get_json_object(e, path), F.lit(""))), "")
+        reasons = F.array_compact(F.transform(events, lambda e: F.get_json_object(e, "$.choices[0].finish_reason")))
+        return F.struct(
+            joined("$.choices[0].delta.content").alias("content"),
+            joined("$.choices[0].delta.reasoning_content").alias("reasoning"),
+            let(reasons, lambda r: F.get(r, F.size(r) - 1)).alias("finish_reason"),
+            F.get(F.filter(F.transform(events, stream_error), lambda m: m != ""), F.lit(0)).alias("error"),
+        )
+
+    return let(F.filter(sse_events(stream), lambda e: e != "[DONE]"), of)
 
 
 def stream_error(event: Column) -> Column:

@@ -16,6 +16,7 @@ from sheafline.functions.unicode import fuzzy_normalize_exact, json_text_exact
 from sheafline.operators import canonical, findings, grammar, markdown, results, state, tables, transport
 from sheafline.plans import corpora
 from sheafline.session import table
+from sheafline.sources import checkpoints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -428,6 +429,42 @@ def composed_page_results(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "status", "review_required", "n_critical", F.col("quality.row_count").cast("long").alias("row_count"), F.col("stats.input_tokens").alias("input_tokens"), F.size("quality.warnings").alias("n_notes"))
 
 
+def _composed(spark: SparkSession, sf: str) -> DataFrame:
+    """Invoices put together from both readings: an amount's name in a header where doc_id % 3 = 0, a short first row where % 4 = 0, a wrong declaration where % 5 = 0, no transcript where % 19 = 0."""
+    key = F.col("doc_id")
+    stats = F.struct(*[F.lit(1).cast("long").alias(k) for k in state.COUNTERS])
+    short = F.when(key % 4 == 0, F.regexp_replace("markdown", r"(?s)\A((?:[^\n]*\n){5})\| [^|\n]* \|", "$1|")).otherwise(F.col("markdown"))
+    shown = F.when(key % 3 == 0, F.replace(short, F.lit("| LIBELLE |"), F.lit("| NET A PAYER |"))).otherwise(short)
+    declared = '\n<!-- TRACK_MAP locked=yes tracks=4 headers="' + "¦".join(corpora.HEADER) + '" evidence="geometry:1" -->\n| REF |'
+    raw = F.when(key % 5 == 0, F.replace(shown, F.lit("\n| REF |"), F.lit(declared))).otherwise(shown)
+    audits = corpora.audit_pages(spark, sf).where(key % 19 != 0).withColumn("stats", stats)
+    return results.page_results(audits, corpora.invoice_pages(spark, sf).withColumn("markdown", raw).withColumn("stats", stats))
+
+
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, CAST(count(*) AS INTEGER) AS k, CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 0 END AS more FROM lineitem GROUP BY l_orderkey), f AS (
+ SELECT doc_id, 'table_width_mismatch' AS rule, 'warning' AS severity, 4 + more AS line_no, NULL AS col_no, '5' AS said FROM n WHERE doc_id % 4 = 0
+ UNION ALL SELECT doc_id, 'financial_data_in_markdown_header', 'critical', k + 8 + more, 1, 'NET A PAYER' FROM n WHERE doc_id % 3 = 0
+ UNION ALL SELECT doc_id, kind || '_map_absent_complex', 'warning', k + 8 + more, NULL, NULL FROM n, (VALUES ('track'), ('grid'), ('row')) v(kind)
+ UNION ALL SELECT doc_id, rule, 'critical', 4, NULL, '4' FROM n, (VALUES ('track_map_tracks_mismatch'), ('track_map_header_count_mismatch')) v(rule) WHERE doc_id % 5 = 0)
+ SELECT doc_id, 1 AS page, rule, severity, line_no, CAST(NULL AS INTEGER) AS row_no, col_no, said FROM f""")
+def composed_page_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every finding of the composed pages with its place: lines of declarations in the answer as it came, all others in the sanitised Markdown."""
+    said = F.coalesce(*[F.try_element_at("detail", F.lit(k)) for k in ("header", "value", "tracks")])
+    return results.finding_rows(_composed(spark, sf)).select("doc_id", "page", "rule", "severity", "line_no", "row_no", "col_no", said.alias("said"))
+
+
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, count(*) AS k FROM lineitem GROUP BY 1), w AS (SELECT *, doc_id % 19 = 0 AS unread,
+  CASE WHEN doc_id % 4 = 0 THEN 4 ELSE 3 END AS warned, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN doc_id % 5 = 0 THEN 2 ELSE 0 END AS found, CASE WHEN doc_id % 5 = 0 THEN 2 ELSE 0 END AS declared,
+  CASE WHEN doc_id % 19 = 0 THEN 2 ELSE CASE WHEN doc_id % 13 = 0 THEN 1 ELSE 0 END END AS notes FROM n)
+ SELECT doc_id, unread, CAST(notes + warned + found + declared AS INTEGER) AS warning_count, CASE WHEN unread OR doc_id % 7 <> 0 THEN 0 ELSE 1 END AS error_count, found > 0 AS review_required,
+ CASE WHEN found > 0 OR unread THEN 'warning' WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 THEN 'degraded' WHEN warned + notes > 0 THEN 'warning' ELSE 'complete' END AS status,
+ CASE WHEN unread THEN 1 ELSE 2 END AS input_tokens FROM w""")
+def composed_page_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of notes and errors, status and summed stats of the composed pages, with and without a transcript."""
+    unread = F.array_contains("quality.warnings", results.NO_TRANSCRIPT)
+    return _composed(spark, sf).select("doc_id", unread.alias("unread"), "quality.warning_count", "quality.error_count", "review_required", "status", F.col("stats.input_tokens").cast("int").alias("input_tokens"))
+
+
 @query("""WITH n AS (SELECT l_orderkey AS doc_id, count(*) AS k FROM lineitem GROUP BY 1)
  SELECT doc_id, doc_id % 3 <> 0 AND doc_id % 4 <> 0 AS ok, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 0 END AS n_errors, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_critical FROM n""")
 def validated_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -490,6 +527,34 @@ def resume_missing_pages(spark: SparkSession, sf: str) -> DataFrame:
     return state.missing_pages(table(spark, sf, "documents").select("doc_id"), state.valid_checkpoint(done, 3, "s", "f"), ["doc_id"])
 
 
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """One to three attempts at each turn of a conversation, in no order; the last one of every fifth turn was not finished."""
+    attempts = 1 + (F.col("conv_id") + F.col("turn")) % 3
+    rows = table(spark, sf, "conversations").select("*", attempts.alias("n"), F.explode(F.sequence(F.lit(1).cast("long"), attempts.cast("long"))).alias("attempt"))
+    cut = (F.col("turn") % 5 == 4) & (F.col("attempt") == F.col("n"))
+    return rows.select(
+        F.lit(3).alias("checkpoint_version"), F.lit("s").alias("checkpoint_schema"), F.lit("f").alias("pipeline_fingerprint"), F.col("conv_id").cast("string").alias("source_id"), F.lit(0).alias("page_count"), F.col("turn").cast("int").alias("page"),
+        F.when(cut, "failed").otherwise("done").alias("status"), F.timestamp_seconds(F.col("attempt") * 60).alias("updated_at"), F.lit("c").alias("normalized_canonical"),
+        F.concat("text", F.lit(" #"), F.col("attempt").cast("string")).alias("markdown"), F.lit("q").alias("quality"), F.lit("s").alias("stats"),
+    )
+
+
+@query("""SELECT conv_id, sha256(string_agg(trim(text || ' #' || (1 + (conv_id + turn) % 3), chr(10)), chr(10) || chr(10) ORDER BY turn)) AS digest, count(*) AS n_pages FROM conversations GROUP BY 1""")
+def documents_after_replays(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages read up to three times are each printed once, from the newest record."""
+    pages = checkpoints.newest(_replayed(spark, sf)).withColumn("conv_id", F.col("source_id").cast("long"))
+    docs = state.assemble_documents(pages, doc_id="conv_id", audit=None)
+    return docs.select("conv_id", t.sha256_text(state.rendered_document("document")).alias("digest"), F.size(state.page_bodies("document", "RENDERED")).cast("long").alias("n_pages"))
+
+
+@query("""SELECT conv_id, CAST(turn AS INTEGER) AS page FROM conversations WHERE turn % 5 = 4 OR turn % 4 = 3""")
+def resumed_after_replays(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose newest record was not finished, or counts other pages than the document has, are still to do."""
+    pages = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("source_id"), F.col("turn").cast("int").alias("page"), F.when(F.col("turn") % 4 == 3, 1).otherwise(0).alias("page_count"))
+    _, left = checkpoints.resume(_replayed(spark, sf), pages, 3, "s", "f")
+    return left.select(F.col("source_id").cast("long").alias("conv_id"), "page")
+
+
 @query("""SELECT o_orderkey AS page, CASE WHEN l.k IS NULL THEN 'unavailable' ELSE 'complete' END AS status, l.k IS NULL AS placeholder FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) l ON o_orderkey = l.k""")
 def placeholder_for_failed(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page"))
