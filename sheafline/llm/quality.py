@@ -51,7 +51,7 @@ def _counted(terms: int):
         for batch in slices(batches):
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                rows = [term_counts(x, terms, cache).astype(np.float32).tobytes() for x in part.column(0).to_pylist()]
+                rows = [zlib.compress(term_counts(x, terms, cache).astype(np.float32).tobytes(), 1) for x in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), part.column(1)], ["counts", "label"])
 
     return run
@@ -111,24 +111,24 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int
     """Learns from labelled rows outside the held-out fold (crc32 of the id mod 4 is 2).
 
     About ``sample`` labelled rows at most, chosen by hashed id, are used; their term
-    counts (2 * terms * 4 bytes each) are all that reaches the driver.
+    counts (2 * terms * 4 bytes each, sent compressed) are all that reaches the driver, which holds one matrix of them.
     """
     known = labels.where((fold("doc_id") != 2) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
     share = min(1.0, sample / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("double").alias("label"))
-    seen = rows.mapInArrow(_counted(terms), "counts binary, label double").collect()
-    if not seen:
+    seen = rows.mapInArrow(_counted(terms), "counts binary, label double").toArrow()
+    if not seen.num_rows:
         return QualityModel(np.ones(2 * terms), np.zeros((2 * terms, 1)), np.empty((0, 1)), np.empty(0), 1.0, neighbours, power, rest)
-    seen.sort(key=lambda r: (bytes(r["counts"]), r["label"]))  # the same model whatever order rows come in
-    x, y = np.empty((len(seen), 2 * terms), np.float32), np.array([r["label"] for r in seen])
-    for i, r in enumerate(seen):
-        x[i] = np.frombuffer(r["counts"], np.float32)
-    seen.clear()
+    pairs = sorted(zip(seen["counts"].to_pylist(), seen["label"].to_pylist(), strict=True))  # the same model whatever order rows come in
+    x, y = np.empty((len(pairs), 2 * terms), np.float32), np.array([p[1] for p in pairs])
+    for i, (counts, _) in enumerate(pairs):
+        x[i] = np.frombuffer(zlib.decompress(counts), np.float32)
     model = QualityModel(np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1, np.empty(0), np.empty(0), y, float(y.mean()), neighbours, power, rest)
-    a = model.weighted(x)
-    model.axes = strongest_axes(a, dims)
-    z = a @ model.axes
+    for i in range(0, len(x), ROWS):  # in place, without a second matrix
+        x[i : i + ROWS] = model.weighted(x[i : i + ROWS])
+    model.axes = strongest_axes(x, dims)
+    z = x @ model.axes
     model.vectors = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     return model
 
