@@ -9,6 +9,7 @@ import functools
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -24,13 +25,29 @@ _UNNAMED = re.compile(r"\[SANS_ENTETE_(\d+)\]", re.I)
 _NUMBER = re.compile(r"[+−-]?\d[\d\s.,'’]*")
 
 
-@functools.lru_cache(maxsize=50_000)
-def plain(value: str | None) -> str:
-    return " ".join(re.sub(r"[*_`]", "", _BREAK.sub(" ", value or "")).split())
+#: Values up to this many characters (cells, headers) are remembered, 20,000 of them; longer texts never are.
+REMEMBERED = 200
 
 
-@functools.lru_cache(maxsize=50_000)
-def fuzzy(value: str | None) -> str:
+def remembered(f: Callable[[str], str]) -> Callable[[str | None], str]:
+    """``f`` with a memory for short values; null counts as ''."""
+    known = functools.lru_cache(maxsize=20_000)(f)
+
+    @functools.wraps(f)
+    def of(value: str | None) -> str:
+        v = value or ""
+        return known(v) if len(v) <= REMEMBERED else f(v)
+
+    return of
+
+
+@remembered
+def plain(value: str) -> str:
+    return " ".join(re.sub(r"[*_`]", "", _BREAK.sub(" ", value)).split())
+
+
+@remembered
+def fuzzy(value: str) -> str:
     decomposed = unicodedata.normalize("NFKD", plain(value).lower())
     return re.sub(r"[^a-z0-9]+", " ", "".join(c for c in decomposed if not unicodedata.combining(c))).strip()
 
