@@ -40,6 +40,7 @@ FENCE = r"^\s*(`{3,}|~{3,})(?:[A-Za-z0-9_.+-]+)?\s*$"
 PAGE_MARKER = r"(?i)^\s*<!--\s*PAGE\s+(\d+)\s*-->\s*$"
 MODEL_PAGE = r"(?i)^\s*\[\[(?:PDF_)?PAGE(?:\s+\d+)?\]\]\s*$"
 MAP_COMMENT = r"(?im)^\s*<!--\s*(?:TRACK_MAP|GRID_MAP|ROW_MAP|SPECIAL_ROW_MAP)\b.*?-->\s*$"
+GLOBAL_FAILURE = "invalid api key|authentication failed|permission denied|http 401|http 403|http 404|model not found|endpoint qwen invalide|workspace"
 ACCENTED, PLAIN = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
 # ------------------------------------------------------------------------------------------
 
@@ -315,17 +316,20 @@ def page_markers(c: Column | str) -> Column:
     return F.transform(F.filter(lines(text(c)), lambda x: x.rlike(PAGE_MARKER)), lambda x: F.regexp_extract(x, PAGE_MARKER, 1).cast("int"))
 
 
-def json_text(c: Column | str, depth: int = 3) -> Column:
-    """Text of a JSON content value: a string, an object's text or content, or a list's non-blank parts joined by blank lines. Nesting is followed ``depth`` deep."""
+def json_text_to_depth(c: Column | str, depth: int) -> Column:
+    """Text of a JSON content value: a string, an object's text or content, or a list's non-blank parts joined by blank lines.
+
+    For values known to be nested ``depth`` deep at most: what lies deeper gives ''. :func:`sheafline.functions.unicode.json_text` follows any depth.
+    """
     v = _col(c)
     if depth < 0:
         return F.lit("")
     quoted = F.from_json(F.concat(F.lit('{"x":'), v, F.lit("}")), "x string")["x"]
     items = F.from_json(v, "array<string>")
     t, kind = F.get_json_object(v, "$.text"), F.substring(F.ltrim(v), 1, 1)
-    parts = F.filter(F.transform(items, lambda x: F.when(F.ltrim(x).rlike(r"^[\[{]"), json_text(x, depth - 1)).otherwise(x)), lambda x: strip(x) != "")
+    parts = F.filter(F.transform(items, lambda x: F.when(F.ltrim(x).rlike(r"^[\[{]"), json_text_to_depth(x, depth - 1)).otherwise(x)), lambda x: strip(x) != "")
     inner = F.get_json_object(v, "$.content")
-    of_object = F.coalesce(t, F.when(F.ltrim(inner).rlike(r"^[\[{]"), json_text(inner, depth - 1)).otherwise(inner), F.lit(""))
+    of_object = F.coalesce(t, F.when(F.ltrim(inner).rlike(r"^[\[{]"), json_text_to_depth(inner, depth - 1)).otherwise(inner), F.lit(""))
     return F.coalesce(F.when(kind == "[", F.array_join(parts, "\n\n")).when(kind == "{", of_object).when(kind == '"', quoted), F.lit(""))
 
 
@@ -351,4 +355,4 @@ def sha256_text(c: Column | str) -> Column:
 
 
 def is_global_failure(message: Column | str) -> Column:
-    return F.lower(text(message)).rlike("invalid api key|authentication failed|permission denied|http 401|http 403|http 404|model not found|endpoint qwen invalide|workspace")
+    return F.lower(text(message)).rlike(GLOBAL_FAILURE)

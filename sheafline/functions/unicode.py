@@ -9,7 +9,7 @@ import functools
 import json
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -99,25 +99,71 @@ def fuzzy_normalize_exact(c: Column | str) -> Column:
 
 
 def content_text(value: object) -> str:
-    """Text of a content value: a string, an object's text or else its content, or a list's non-blank parts joined by blank lines, however deep."""
-    if isinstance(value, list):
-        return "\n\n".join(x for x in map(content_text, value) if x.strip())
-    if isinstance(value, dict):
-        return content_text(value["text"] if isinstance(value.get("text"), str) else value.get("content"))
-    return value if isinstance(value, str) else ""
-
-
-def json_text_exact(c: Column | str) -> Column:
-    """:func:`sheafline.functions.text.json_text` for nesting of any depth; text that is no JSON gives ''."""
+    """Text of a content value: a string, an object's text or else its content, or a list's non-blank parts joined by blank lines, however deep: lists that are still open are kept on a stack."""
+    open_: list[tuple[Iterator[object], list[str]]] = [(iter([value]), [])]
+    while True:
+        items, parts = open_[-1]
+        for item in items:
+            while isinstance(item, dict):
+                item = item["text"] if isinstance(item.get("text"), str) else item.get("content")
+            if isinstance(item, list):
+                open_.append((iter(item), []))
+                break
+            if isinstance(item, str):
+                parts.append(item)
+        else:
+            open_.pop()
+            if not open_:
+                return "".join(parts)
+            open_[-1][1].append("\n\n".join(x for x in parts if x.strip()))
+
+
+_TOKEN = re.compile(r'\s*("(?:[^"\\]|\\.)*"|[\[\]{},:]|[^\s\[\]{},:"]+)')
+
+
+def deep_json(value: str) -> object:
+    """A JSON value nested deeper than the standard parser goes; only its brackets are followed here, every string and number is read by that parser."""
+    top: list = []
+    open_: list[list] = [top]  # lists as they are, objects as names and values by turns
+    kinds, at = [], 0
+    for m in _TOKEN.finditer(value):
+        if m.start() != at:
+            break
+        at, token = m.end(), m[1]
+        if token in "[{":
+            open_.append([])
+            kinds.append(token)
+        elif token in "]}":
+            if not kinds or "[{".index(kinds.pop()) != "]}".index(token):
+                raise ValueError("brackets do not match")
+            done = open_.pop()
+            open_[-1].append(done if token == "]" else dict(zip(done[::2], done[1::2], strict=True)))
+        elif token not in ",:":
+            open_[-1].append(json.loads(token))
+    if value[at:].strip() or kinds or len(top) != 1:
+        raise ValueError("no JSON value")
+    return top[0]
+
+
+def json_text(c: Column | str) -> Column:
+    """Text of a JSON content value (see :func:`content_text`), nested to any depth; text that is no JSON, and null, give ''."""
 
     def of(value: str) -> str:
         try:
             return content_text(json.loads(value))
-        except (ValueError, RecursionError):
+        except RecursionError:
+            return content_text(deep_json(value))
+        except ValueError:
+            return ""
+
+    def safe(value: str) -> str:
+        try:
+            return of(value)
+        except (ValueError, TypeError):  # brackets without sense, or names that are none
             return ""
 
     @F.pandas_udf("string")
     def extracted(values: pd.Series) -> pd.Series:
-        return values.map(of)
+        return values.map(safe)
 
     return extracted(t.text(c))

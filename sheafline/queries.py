@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.functions import text as t
-from sheafline.functions.unicode import fuzzy_normalize_exact, json_text_exact
+from sheafline.functions.unicode import fuzzy_normalize_exact, json_text
 from sheafline.operators import canonical, findings, grammar, markdown, results, state, tables, transport
 from sheafline.plans import corpora
 from sheafline.session import table
-from sheafline.sources import checkpoints
+from sheafline.sources import checkpoints, recognizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -477,9 +477,10 @@ def validated_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""SELECT conv_id, turn, text FROM conversations""")
 def nested_content_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts wrapped six lists deep are found again."""
-    deep = F.to_json(F.struct(F.array(F.struct(F.col("text").alias("text"))).alias("content")))
-    return table(spark, sf, "conversations").select("conv_id", "turn", json_text_exact(F.concat(F.lit("[[[[["), deep, F.lit("]]]]]"))).alias("text"))
+    """Texts wrapped in lists are found again, however deep: some hundreds to some thousands of levels, beyond what JSON parsers follow."""
+    inner, levels = F.to_json(F.struct(F.array(F.struct(F.col("text").alias("text"))).alias("content"))), (200 + F.col("conv_id") % 7 * 1000).cast("int")
+    deep = F.concat(F.repeat(F.lit("["), levels), inner, F.repeat(F.lit("]"), levels))
+    return table(spark, sf, "conversations").select("conv_id", "turn", json_text(deep).alias("text"))
 
 
 # ---- usage, state, assembly -----------------------------------------------------------------
@@ -581,6 +582,32 @@ def retry_policy(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", r["retry"].alias("retry"), r["delay"].alias("delay"))
 
 
+class PlantedFailures:
+    """A client that fails by key and attempt, and else gives the request back."""
+
+    def __init__(self, attempt: int) -> None:
+        self.attempt = attempt
+
+    def __call__(self, request: str) -> tuple[str, str]:
+        key = int(request)
+        for every, until, message in ((11, 9, "HTTP 400 bad request"), (13, 9, "HTTP 500"), (7, 3, "HTTP 503 overloaded"), (5, 2, "HTTP 429 rate limit")):
+            if key % every == 0 and self.attempt < until:
+                raise RuntimeError(message)
+        return f"answer {key}", "{}"
+
+
+@query("""SELECT event_id AS doc_id, CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_id % 13 = 0 OR event_id % 7 = 0 THEN 3 WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS attempt, CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'failed' ELSE 'done' END AS outcome,
+ CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN 'answer ' || event_id END AS response, CASE WHEN event_id % 11 = 0 THEN 400 WHEN event_id % 13 = 0 THEN 500 END AS status FROM events""")
+def requests_with_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests for every event, some of which fail for a while or for good; only those that may succeed are asked again."""
+    requests = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.lit(1).alias("page"), F.col("event_id").cast("string").alias("request"))
+    return recognizer.ask_with_policy(requests, PlantedFailures, wait=_no_wait).select("doc_id", "attempt", "outcome", "response", "status")
+
+
+def _no_wait(seconds: float) -> None:
+    """Recorded failures need no pause."""
+
+
 @query("""SELECT doc_id, CASE WHEN s * 300 <= 14 THEN 'quality' WHEN s * 280 <= 14 THEN 'balanced' WHEN s * 250 <= 14 THEN 'compact' ELSE 'emergency' END AS profile, s * 230 <= 14 AS fits FROM (SELECT doc_id, length(text) / 20000.0 AS s FROM documents)""")
 def payload_profile_choice(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "documents").select("doc_id", (F.length("text") / 20000.0).alias("s"))

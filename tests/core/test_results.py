@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sheafline.functions.unicode import alike, content_text, json_text_exact
+from sheafline.functions.unicode import alike, content_text, deep_json, json_text
 from sheafline.operators import findings, results, state, transport
 
 STATS = "struct<" + ",".join(f"{k}:long" for k in state.COUNTERS) + ">"
@@ -14,8 +14,10 @@ def test_page_results(spark):
     audits = spark.createDataFrame([(1, 1, audit, stats), (1, 2, " ", None)], f"doc_id long, page int, audit string, stats {STATS}")
     pages = [(1, 1, "<!-- PAGE 1 -->\ntexte", stats), (1, 2, "texte", stats), (1, 3, "| NET A PAYER |\n|---|\n| 5 |", None), (1, 4, None, None)]
     got = results.page_results(audits, spark.createDataFrame(pages, f"doc_id long, page int, markdown string, stats {STATS}")).orderBy("page").collect()
-    assert [(r["status"], r["review_required"], r["stats"]["input_tokens"], r["format_complete"]) for r in got[:3]] == [("complete", False, 10, True), ("degraded", False, 5, False), ("warning", True, 0, False)]
+    assert [(r["status"], r["review_required"], r["stats"]["input_tokens"], r["format_complete"]) for r in got[:3]] == [("complete", False, 10, True), ("warning", False, 5, False), ("warning", True, 0, False)]
     assert len(got) == 4 and "quality=unavailable" in got[1]["audit"] and got[3]["markdown"] is not None
+    assert results.NO_TRANSCRIPT in got[1]["quality"]["warnings"] and got[1]["quality"]["error_count"] == 0 and got[1]["quality"]["warning_count"] == 2 + got[1]["n_warnings"]
+    assert [(f["rule"], f["severity"], f["line_no"], f["col_no"], f["detail"]) for f in got[2]["findings"] if f["severity"] == "critical"] == [("financial_data_in_markdown_header", "critical", 3, 1, {"value": "NET A PAYER"})]
 
 
 def test_validated_documents(spark):
@@ -34,6 +36,9 @@ def test_profiles_keep_repeated_pages(spark):
 
 def test_nested_content(spark):
     assert content_text([[[[["deep"]]]], " ", {"content": [{"text": "x"}]}]) == "deep\n\nx" and content_text({"text": "a", "content": "b"}) == "a" and content_text(7) == ""
-    rows = spark.createDataFrame([("[" * 9 + '"deep"' + "]" * 9,), ("no json",), (None,)], "v string")
-    assert [r[0] for r in rows.select(json_text_exact("v")).collect()] == ["deep", "", ""]
+    far = lambda n, inner: "[" * n + inner + "]" * n
+    values = [far(9, '"deep"'), far(2_000, '"deep"'), far(200_000, '{"content": [1, "a\\u00e9", {"text": "b"}]}'), far(200_000, '"x"') + "]", far(200_000, "{1}"), "no json", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    assert [r[0] for r in rows.orderBy("i").select(json_text("v")).collect()] == ["deep", "deep", "aé\n\nb", "", "", "", ""]
+    assert deep_json(' {"a": [1, {"b": null}], "c": "x,]"} ') == {"a": [1, {"b": None}], "c": "x,]"}
     assert alike("abcd", "abcf", 0.7) and not alike("abcd", "wxyz", 0.1)

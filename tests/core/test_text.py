@@ -75,4 +75,4 @@ def test_uris(spark):
 
 @pytest.mark.parametrize(("value", "expected"), [('"a"', "a"), ('{"text":"t"}', "t"), ('[{"text":"a"},"b",{"content":[{"text":"c"}]}," "]', "a\n\nb\n\nc"), ("null", ""), ("[]", "")])
 def test_json_text(spark, value, expected):
-    assert one(spark, t.json_text, value) == [expected]
+    assert one(spark, lambda c: t.json_text_to_depth(c, 3), value) == [expected]
