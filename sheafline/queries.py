@@ -245,6 +245,45 @@ def canonical_pages(spark: SparkSession, sf: str) -> DataFrame:
     return first.join(again, "doc_id").select("doc_id", "status", "n_rows", "n_cells", (F.col("normalized") == F.col("same")).alias("stable"))
 
 
+def _order_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in the historical grammar: their fields as items, with tags left out or fields spread over lines at certain keys, and their lines as a table with cells left out, repeated, or beyond the declared width."""
+    key = F.col("order_key")
+    item = lambda *rows: F.concat_ws("\n", F.lit("[[ITEM]]"), *rows, F.lit("[[/ITEM]]"))
+    n, total = F.size("items").cast("string"), corpora.comma(F.aggregate("items", F.lit(0).cast("decimal(18,2)"), lambda a, x: (a + x["l_extendedprice"].cast("decimal(18,2)")).cast("decimal(18,2)")))
+    untagged = F.concat(F.lit("Lines<TAB>"), n)
+    items = F.concat_ws("\n", F.when(key % 3 == 0, untagged).otherwise(item(F.lit("label=Lines"), F.concat(F.lit("value="), n))), item(F.lit("label=Total"), F.concat(F.lit("value="), total), F.when(key % 4 == 0, F.lit("EUR"))), F.when(key % 5 == 0, item(F.lit("value=free"))))
+    row = lambda x, i: F.concat_ws("\n", F.lit("[[ROW kind=data]]"), F.concat(F.lit("1="), x["l_partkey"].cast("string")), F.when((key % 7 == 0) & (i == 0), F.lit("1=bis")), F.when(key % 2 == 0, F.concat(F.lit("2="), x["name"])), F.when((key % 11 == 0) & (i == 0), F.lit("3=more")), F.lit("[[/ROW]]"))
+    table = F.concat_ws("\n", F.lit("[[TABLE id=T1 section=line_items source=printed cols=2]]\n[[ROW kind=header]]\n1=REF\n2=NAME\n[[/ROW]]"), F.array_join(F.transform("items", row), "\n"), F.lit("[[/TABLE]]"))
+    audit = F.concat(F.lit("[[GRID_AUDIT table_id=T1 rows_checked="), n, F.lit(" group_counts=none max_groups=2 support_at_max="), n, F.lit(" final_cols=2 decision=observed]]"))
+    text = F.concat_ws("\n", F.lit("[[KV id=K1 section=totals source=printed]]"), items, F.lit("[[/KV]]"), F.when(key % 13 != 0, audit), table, F.lit("[[END_PAGE coverage=complete]]"))
+    return canonical.parse_pages(corpora.order_lines(spark, sf).select(key.alias("doc_id"), F.lit(1).alias("page"), text.alias("canonical")))
+
+
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, count(*) AS k, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total FROM lineitem GROUP BY 1), i AS (
+ SELECT doc_id, 1 AS item_no, 'Lines' AS label, CAST(k AS VARCHAR) AS value FROM n
+ UNION ALL SELECT doc_id, 2, 'Total', replace(CAST(total AS VARCHAR), '.', ',') || CASE WHEN doc_id % 4 = 0 THEN '<BR>EUR' ELSE '' END FROM n
+ UNION ALL SELECT doc_id, 3, '<EMPTY>', 'free' FROM n WHERE doc_id % 5 = 0) SELECT doc_id, 'K1' AS element_id, 'totals' AS section, item_no, label, value FROM i""")
+def canonical_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items come out whole where their tags are missing, their values go on, or they have no label."""
+    return canonical.items_of(_order_forms(spark, sf)).select("doc_id", "element_id", "section", "item_no", "label", "value")
+
+
+@query(f"""WITH {ITEMS}, w AS (SELECT *, CASE WHEN l_orderkey % 11 = 0 THEN 3 ELSE 2 END AS width FROM items), c AS (
+ SELECT l_orderkey AS doc_id, row_no + 1 AS row_no, 'data' AS kind, unnest(range(1, width + 1)) AS col_no, l_partkey, p_name, row_no AS r FROM w)
+ SELECT doc_id, CAST(row_no AS INTEGER) AS row_no, kind, CAST(col_no AS INTEGER) AS col_no, CASE col_no WHEN 1 THEN l_partkey || CASE WHEN doc_id % 7 = 0 AND r = 1 THEN '<BR>bis' ELSE '' END WHEN 2 THEN CASE WHEN doc_id % 2 = 0 THEN p_name ELSE '<EMPTY>' END ELSE CASE WHEN r = 1 THEN 'more' ELSE '<EMPTY>' END END AS value FROM c
+ UNION ALL SELECT DISTINCT l_orderkey, 1, 'header', col_no, CASE col_no WHEN 1 THEN 'REF' WHEN 2 THEN 'NAME' ELSE '[SANS_ENTETE_3]' END FROM w, (VALUES (1), (2), (3)) v(col_no) WHERE col_no <= width""")
+def canonical_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of every row, as many as the widest row or the declared width has: missing ones are empty, repeated ones joined, columns without a name get a placeholder."""
+    return canonical.cells_of(_order_forms(spark, sf)).select("doc_id", "row_no", "kind", "col_no", "value")
+
+
+@query("""WITH n AS (SELECT l_orderkey AS doc_id, CAST(count(*) AS INTEGER) AS k FROM lineitem GROUP BY 1)
+ SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 3 ELSE 2 END AS cols, k AS rows_checked, 2 AS max_groups, k AS support_at_max, 2 AS final_cols, 'observed' AS decision FROM n WHERE doc_id % 13 <> 0""")
+def canonical_audits(spark: SparkSession, sf: str) -> DataFrame:
+    """What was declared of each table beside its columns."""
+    return canonical.audits_of(_order_forms(spark, sf)).select("doc_id", "cols", "rows_checked", "max_groups", "support_at_max", "final_cols", "decision")
+
+
 # ---- findings -----------------------------------------------------------------------------------
 
 _KEYS = "orders"
