@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,26 @@ def join_with_hot(left: DataFrame, right: DataFrame, on: list[str], hot: Column)
     return left.join(heavy, on).unionByName(left.join(F.broadcast(right.where(hot).select(*on)), on, "left_anti").join(right.where(~hot), on))
 
 
+def neutral_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators whose own temporary columns begin with '_': columns of the caller's table that do so bear neutral names inside
+    and their own again in the result. Tables without such columns are left as they are."""
+
+    @functools.wraps(operator)
+    def run(table: DataFrame, *args, **kwargs) -> DataFrame:
+        own = [c for c in table.columns if c.startswith("_")]
+        if not own:
+            return operator(table, *args, **kwargs)
+        lead = "own"
+        while any(c.startswith(lead) for c in table.columns):
+            lead += "x"
+        inside = {c: f"{lead}{i}" for i, c in enumerate(own)}
+        named = lambda x: inside.get(x, x) if isinstance(x, str) else x
+        out = operator(table.withColumnsRenamed(inside), *map(named, args), **{k: named(v) for k, v in kwargs.items()})
+        return out.withColumnsRenamed({v: k for k, v in inside.items()})
+
+    return run
+
+
 def fold(doc_id: str | Column = "doc_id", parts: int = 4) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids count as ''."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

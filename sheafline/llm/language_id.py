@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import fold, slices, text_bytes
+from sheafline.llm.common import fold, neutral_names, slices, text_bytes
 from sheafline.llm.pieces import MARK, PIECE_MODEL, vocabulary
 
 #: Runs of letters (Unicode category L); digits, numerals, marks and punctuation tell no language.
@@ -224,6 +224,7 @@ class _Known(dict):
 _MEMORY: dict[str, _Known] = {}
 
 
+@neutral_names
 def identify(documents: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``documents`` with lang_pred (string) and score (double: the posterior of that language under equal priors).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import join_with_hot, stored
+from sheafline.llm.common import join_with_hot, neutral_names, stored
 
 #: White space that is stripped from a line's ends: tab, line feed, vertical tab, form feed, return, space.
 BLANKS = " \t\n\u000b\f\r"
@@ -23,6 +23,7 @@ def _hashed(text: Column, least: int) -> Column:
     return F.transform(line_keys(text), lambda k: F.when(F.char_length(k) >= least, pair(k)))
 
 
+@neutral_names
 def dedup_lines(documents: DataFrame, least_chars: int = 20, least_docs: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``documents`` with its text reduced, and n_lines and n_dropped (long) added.
 

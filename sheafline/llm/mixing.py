@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import join_with_hot
+from sheafline.llm.common import join_with_hot, neutral_names
 
 #: Repetitions that one Poisson draw stands for at most; a larger rate is the sum of several independent draws.
 DRAW_RATE = 64.0
@@ -23,6 +23,7 @@ def uniform(*parts: Column | str, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
+@neutral_names
 def mix_sources(
     documents: DataFrame,
     weights: dict[str, float] | None = None,

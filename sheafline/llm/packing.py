@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sheafline.llm.common import stored
+from sheafline.llm.common import neutral_names, stored
 from sheafline.llm.token_counts import token_counts
 
 #: Documents that one ranking task of a bucket orders, about.
@@ -68,6 +68,7 @@ def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> l
     return sorted({*ends, lengths[j]})
 
 
+@neutral_names
 def pack(documents: DataFrame, length: Column | None = None, buckets: int = 16, budget: int = 65536, doc_id: str = "doc_id", seed: int = 11) -> DataFrame:
     """Every document with its bucket and batch.
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import fold, mix, slices, text_bytes
+from sheafline.llm.common import fold, mix, neutral_names, slices, text_bytes
 
 #: A byte's class: white space, digit, upper case, letter (and every non-ASCII byte), or itself.
 SHAPES = bytes(32 if c in b" \t\n\r\x0b\x0c" else 97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
@@ -133,6 +133,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 4000, terms: int
     return model
 
 
+@neutral_names
 def score_quality(documents: DataFrame, model: QualityModel, terms: int = 1024) -> DataFrame:
     """``documents`` with a score column (double, 0 to 1; higher: label 1 likelier).
 

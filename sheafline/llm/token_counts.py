@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sheafline.llm.common import slices, text_bytes
+from sheafline.llm.common import neutral_names, slices, text_bytes
 from sheafline.llm.pieces import MARK, PIECE_MODEL, Remembered, vocabulary
 
 #: What an unknown character scores below the vocabulary's least piece (the unigram tokenizer's rule).
@@ -92,6 +92,7 @@ def _counted(path: str):
     return run
 
 
+@neutral_names
 def token_counts(documents: DataFrame, path: str = PIECE_MODEL) -> DataFrame:
     """``documents`` with n_tokens (long): how many tokens the unigram tokenizer over the vocabulary at ``path`` makes of each whole text.
 

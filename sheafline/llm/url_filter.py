@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import discard, join_with_hot, stored
+from sheafline.llm.common import discard, join_with_hot, neutral_names, stored
 
 #: (verdict, host, path) rules of the registered query.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -109,6 +109,7 @@ def _tree(table: DataFrame, z: float, slack: float, smoothing: float, silent: fl
     return at.withColumn("gen", left).select("host", "segs", "n", "bad", "good", "gen", "purity")
 
 
+@neutral_names
 def judge_urls(
     pages: DataFrame, rules: list[tuple[str, str, str]], z: float = 1.96, slack: float = 0.05, smoothing: float = 2.0, silent: float = 1.0, reject: float = 0.8, learn_from: Column | None = None, url: str = "url"
 ) -> DataFrame:
