@@ -78,12 +78,26 @@ def use_prompt_cache(pages: Column, workers: int, forced: bool = False) -> Colum
     return (pages > workers) | F.lit(forced)
 
 
-def view_specifications(spark: SparkSession, stage: str, rank: int = 0) -> DataFrame:
+def view_rows(stage: str, rank: int = 0) -> list[tuple[int, str, list[float], int, int]]:
     """(position, label, rect, dpi, quality): the crops of a page, four for the audit and six for the Markdown, under the profile of a rank."""
     _, _, full, detail, quality = profiles(stage)[rank]
     views = AUDIT_VIEWS if stage == "audit" else MARKDOWN_VIEWS
-    rows = [(i, v[0], list(v[1:]), full if v[0] in ("full", "geometry") else detail, max(72, quality - 18) if v[0] == "geometry" else quality) for i, v in enumerate(views)]
-    return spark.createDataFrame(rows, "position int, label string, rect array<double>, dpi int, quality int")
+    return [(i, v[0], list(v[1:]), full if v[0] in ("full", "geometry") else detail, max(72, quality - 18) if v[0] == "geometry" else quality) for i, v in enumerate(views)]
+
+
+def page_views(stage: Column, rank: int = 0) -> Column:
+    """array<struct<position, label, rect, dpi, quality>>: the views that a page needs for its stage (audit or markdown; null for others). Literals in the page's row: no join."""
+
+    def listed(name: str) -> Column:
+        one = lambda v: F.struct(F.lit(v[0]).alias("position"), F.lit(v[1]).alias("label"), F.array(*map(F.lit, v[2])).alias("rect"), F.lit(v[3]).alias("dpi"), F.lit(v[4]).alias("quality"))
+        return F.array(*map(one, view_rows(name, rank)))
+
+    return F.when(stage == "audit", listed("audit")).when(stage == "markdown", listed("markdown"))
+
+
+def view_specifications(spark: SparkSession, stage: str, rank: int = 0) -> DataFrame:
+    """The views of a stage as a table."""
+    return spark.createDataFrame(view_rows(stage, rank), "position int, label string, rect array<double>, dpi int, quality int")
 
 
 def sse_events(stream: Column | str) -> Column:

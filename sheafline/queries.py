@@ -667,11 +667,14 @@ def sse_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("conv_id", "turn", F.col("r.content").alias("content"), F.col("r.finish_reason").alias("finish_reason"), "n_events")
 
 
-@query("""SELECT * FROM (VALUES ('audit', 4, 280, 420), ('markdown', 6, 300, 500)) v(stage, n_views, full_dpi, detail_dpi)""")
+@query("""WITH v(stage, n_views, full_dpi, detail_dpi, right_side) AS (VALUES ('audit', 4, 280, 420, 4.0), ('markdown', 6, 300, 500, 6.0)), p AS (SELECT page_id, CASE WHEN contains(html, '<table') THEN 'audit' ELSE 'markdown' END AS stage FROM pages)
+ SELECT page_id, stage, n_views, full_dpi, detail_dpi, right_side FROM p JOIN v USING (stage)""")
 def view_specifications(spark: SparkSession, sf: str) -> DataFrame:
-    both = [transport.view_specifications(spark, s).withColumn("stage", F.lit(s)) for s in ("audit", "markdown")]
-    dpi = F.col("dpi")
-    return both[0].unionByName(both[1]).groupBy("stage").agg(F.count("*").cast("int").alias("n_views"), F.min(dpi).alias("full_dpi"), F.max(dpi).alias("detail_dpi"))
+    """The views to be cut from every page: pages with a table are audited, others are written."""
+    pages = table(spark, sf, "pages").select("page_id", F.when(F.contains("html", F.lit("<table")), "audit").otherwise("markdown").alias("stage"))
+    views = pages.select("page_id", "stage", F.explode(transport.page_views(F.col("stage"))).alias("v"))
+    right = F.round(F.sum(F.col("v.rect")[2]), 6)
+    return views.groupBy("page_id", "stage").agg(F.count("*").cast("int").alias("n_views"), F.min("v.dpi").alias("full_dpi"), F.max("v.dpi").alias("detail_dpi"), right.cast("decimal(2,1)").alias("right_side"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
