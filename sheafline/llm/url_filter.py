@@ -71,17 +71,23 @@ def _hosts(table: DataFrame, smoothing: float, silent: float) -> DataFrame:
 
 
 def _tree(table: DataFrame, z: float, slack: float, smoothing: float, silent: float) -> DataFrame:
-    """Generalises segment after segment: gen is the template of ``segs`` and purity the one of its node. Ends when every node holds one raw template."""
+    """Generalises segment after segment: gen is the template of ``segs`` and purity the one of its node. Ends when every node holds one raw template.
+
+    Segments that all of a node's raw templates share are taken in one step: with a single child there is nothing to merge and the purity stays.
+    """
     t = table.join(_hosts(table, smoothing, silent), "host").withColumn("gen", F.array().cast("array<string>"))
-    t, level = stored(t, "templates"), 0
+    t = stored(t, "templates")
+    shared = F.coalesce(F.nullif(F.array_position(F.zip_with("low", "high", lambda a, b: F.coalesce(a == b, F.lit(False))), F.lit(False)), F.lit(0)) - 1, F.size("low"))  # of the least and the greatest, so of all between
     while True:
-        nodes = t.groupBy("host", "gen").agg(F.count("*").alias("templates"), F.sum("n").alias("all"))
-        at = t.join(nodes, ["host", "gen"]).withColumn("open", (F.col("templates") > 1) & (F.size("segs") > level))
+        nodes = t.groupBy("host", "gen").agg(F.count("*").alias("templates"), F.sum("n").alias("all"), F.min("segs").alias("low"), F.max("segs").alias("high"))
+        nodes = nodes.select("host", "gen", "templates", "all", F.when(F.col("templates") > 1, F.greatest(shared.cast("int"), F.size("gen"))).otherwise(F.size("gen")).alias("depth"))
+        at = t.join(nodes, ["host", "gen"]).withColumn("gen", F.concat("gen", F.slice("segs", F.size("gen") + 1, F.col("depth") - F.size("gen"))))
+        at = at.withColumn("open", (F.col("templates") > 1) & (F.size("segs") > F.col("depth")))
         if not at.where("open").limit(1).count():
             break
-        at = at.withColumn("seg", F.when(F.col("open"), F.try_element_at("segs", F.lit(level + 1))))
-        ends = F.when(F.size("segs") == level + 1, F.col("n")).otherwise(0)
-        varies = F.when(F.try_element_at("segs", F.lit(level + 2)) == "*", F.col("n")).otherwise(0)
+        at = at.withColumn("seg", F.when(F.col("open"), F.try_element_at("segs", F.col("depth") + 1)))
+        ends = F.when(F.size("segs") == F.col("depth") + 1, F.col("n")).otherwise(0)
+        varies = F.when(F.try_element_at("segs", F.col("depth") + 2) == "*", F.col("n")).otherwise(0)
         kids = at.where("open").groupBy("host", "gen", "seg").agg(*_sums(), F.sum(ends).alias("ends"), F.sum(varies).alias("varies"))
         kids = kids.withColumn("kind", F.when(F.col("bad") + F.col("good") == 0, "none").when(F.col("bad") >= F.col("good"), "block").otherwise("allow"))
         pools = kids.groupBy("host", "gen", "kind").agg(F.count("*").alias("kids"), *[F.sum(c).alias("_" + c) for c in ("n", "bad", "good", "ends", "varies")])
@@ -100,10 +106,9 @@ def _tree(table: DataFrame, z: float, slack: float, smoothing: float, silent: fl
         new = named.where("open").groupBy("host", "gen").agg(*_sums(), F.first("all").alias("all"), F.first("purity").alias("purity"))
         new = new.select("host", "gen", F.when(F.col("n") < F.col("all"), _purity(F.col("purity"), smoothing, silent)).otherwise(F.col("purity")).alias("own"))
         # a page that ends at an inner node keeps that node's template, which differs from all longer ones
-        named = named.drop("as", "seg", "parent", "all", "templates").join(new, ["host", "gen"], "left")
+        named = named.drop("as", "seg", "parent", "all", "templates", "depth").join(new, ["host", "gen"], "left")
         last, t = t, stored(named.select("host", "segs", "n", "bad", "good", F.when(F.col("open"), F.col("own")).otherwise(F.col("purity")).alias("purity"), "gen"), "templates")
         discard(last)
-        level += 1
     # a node of one raw template: what is left of it is kept as it is
     left = F.when((F.col("templates") == 1) & (F.size("segs") > F.size("gen")), F.concat("gen", F.slice("segs", F.size("gen") + 1, F.greatest(F.size("segs") - F.size("gen"), F.lit(0))))).otherwise(F.col("gen"))
     return at.withColumn("gen", left).select("host", "segs", "n", "bad", "good", "gen", "purity")
@@ -132,8 +137,8 @@ def judge_urls(
     Pages are first summed to one row for each host and raw template (map-side combined); the tree works on those rows,
     and templates that hold a thousandth of all pages or more (so at most 1000) are broadcast back, others joined by
     a shuffle. Null urls and urls without '://' have empty host and path and an empty template. Rules of equal length: the
-    last in alphabetical order wins. Very long urls are read whole; a path of many segments needs no more rounds than it
-    shares segments with another of its host. Repeated pages count each time. Extra columns pass through; columns with these
+    last in alphabetical order wins. Very long urls are read whole; a path needs no more rounds than there are
+    places where it parts from others of its host. Repeated pages count each time. Extra columns pass through; columns with these
     names are replaced. An empty table gives no rows.
     """
     names = ("host", "path", "rule", "template", "purity", "verdict")

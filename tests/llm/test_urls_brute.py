@@ -7,6 +7,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from sheafline.llm import url_filter
 from sheafline.llm.common import fold
 from sheafline.llm.url_filter import RULES, judge_urls
 
@@ -109,3 +110,17 @@ def test_verdicts_that_were_hidden(spark):
     out = judge_urls(pages, RULES, learn_from=fold("page_id") != 2)
     hidden = out.where("rule is not null").where(fold("page_id") == 2).select("verdict", (F.col("purity") >= 0.5).alias("bad")).collect()
     assert len(hidden) > 200 and sum((r["verdict"] == "block") == r["bad"] for r in hidden) >= 0.95 * len(hidden)
+
+
+def test_shared_segments_take_no_rounds_of_their_own(spark, monkeypatch):
+    tables, stored = [], url_filter.stored
+    monkeypatch.setattr(url_filter, "stored", lambda df, name: tables.append(name) or stored(df, name))
+
+    def run(shared):
+        tables.clear()
+        stem = "https://a.example.com/" + "/".join(f"part{'abcdefghij'[i % 10]}" for i in range(shared))
+        urls = [f"{stem}/x/end", f"{stem}/y", stem, f"{stem}/x", "https://a.example.com/", "https://a.example.com/de/1", f"{stem}/x/other/z", f"{stem}/x/other/w"]
+        assert got(judge_urls(spark.createDataFrame([(i, u, "clash", 1) for i, u in enumerate(urls)], SCHEMA), RULES)) == brute(urls, RULES)
+        return len(tables)
+
+    assert run(200) == run(5)
