@@ -193,6 +193,31 @@ def page_marker_sequence(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.array_join(F.transform(t.page_markers_outside_fences(md), lambda x: x.cast("string")), ",").alias("markers"))
 
 
+@query(r"""SELECT conv_id, turn, trim(text, chr(10)) AS body, trim(text) || CASE WHEN turn % 3 = 0 THEN chr(10) || '| [SANS_ENTETE_2] |' ELSE '' END AS cleaned, CASE WHEN turn % 2 = 0 THEN trim(text) ELSE trim(text) || ' ##' END AS main FROM conversations""")
+def cleaned_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """Earlier cleaners on each turn: a fence around it, token aliases and page tokens within, an appendix after every second one."""
+    body = t.strip_triple_backticks(F.concat(F.lit("```markdown\n"), F.col("text"), F.lit("\n```")))
+    aliased = F.concat(F.lit("[[PAGE 3]]\n"), F.col("text"), F.when(F.col("turn") % 3 == 0, "\n| <EMPTY><SANS_ENTETE_2> |").otherwise("\n[[PDF_PAGE]]"))
+    main = F.concat("text", F.when(F.col("turn") % 2 == 0, "\n## Annexe - OCR brut\nold").otherwise(" ##"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", body.alias("body"), t.strip_model_page_tokens(t.normalize_markdown_tokens(aliased)).alias("cleaned"), t.strip_appendix(main).alias("main"))
+
+
+@query("""SELECT conv_id, turn, trim(text, chr(10)) || chr(10) || '[TRONQUE] [SANS_ENTETE_1]' AS value, CASE WHEN turn % 2 = 0 THEN 2 ELSE 1 END AS markers, 1 AS aliases, CASE WHEN turn % 3 = 0 THEN 1 ELSE 0 END AS fence FROM conversations""")
+def sanitized_grammar(spark: SparkSession, sf: str) -> DataFrame:
+    """Page markers of both kinds, token aliases and a fence around every third turn are taken out and counted."""
+    inner = F.concat(F.lit("[[PAGE 1]]\n"), F.col("text"), F.when(F.col("turn") % 2 == 0, "\n<!-- PAGE 2 -->").otherwise(""), F.lit("\n[TRONQUÉE] <SANS_ENTETE_1>"))
+    r = t.sanitize_canonical(F.when(F.col("turn") % 3 == 0, F.concat(F.lit("```\n"), inner, F.lit("\n```"))).otherwise(inner))
+    n = lambda k: F.coalesce(F.try_element_at(F.col("r.changes"), F.lit(k)), F.lit(0))
+    return table(spark, sf, "conversations").withColumn("r", r).select("conv_id", "turn", "r.value", n("model_page_markers").alias("markers"), n("token_aliases").alias("aliases"), n("outer_fence").alias("fence"))
+
+
+@query("""SELECT p_partkey, lower(p_type) AS kind, p_size % 6 IN (0, 1, 2) AS is_label FROM part""")
+def financial_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """A part's name behind words that make it a label of money, or only look like it."""
+    words = F.array(*map(F.lit, ["**Total** ", "Éco-participation ", "Frais<br>de ", "Transport ", "Totalité ", ""]))
+    return table(spark, sf, "part").select("p_partkey", F.lower("p_type").alias("kind"), t.is_financial_label(F.concat(F.get(words, F.col("p_size") % 6), F.col("p_name"))).alias("is_label"))
+
+
 # ---- transcripts --------------------------------------------------------------------------------
 
 
@@ -402,6 +427,18 @@ def closing_annexes(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", t.sha256_text(F.array_join(headings, "\n")).alias("pages"), t.sha256_text(state.rendered_document("document")).alias("digest"), F.size(F.regexp_extract_all(state.thinking_annex("document"), F.lit("<!-- THINKING_META page="), F.lit(0))).alias("n_reasonings"))
 
 
+@query("""WITH n AS (SELECT l_orderkey AS doc_id FROM lineitem GROUP BY 1) SELECT doc_id, 'truncated_header_marker_lost' AS rule, 4 AS line_no, 2 AS col_no FROM n WHERE doc_id % 3 = 0 AND doc_id % 7 <> 0
+ UNION ALL SELECT doc_id, 'standalone_truncated_block_lost', NULL, NULL FROM n WHERE doc_id % 5 = 0""")
+def cut_headers_and_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Invoices whose second header and a block were read as cut; the Markdown lost the header's mark where doc_id % 3 = 0 and the block's where % 5 = 0. A table without an end matches none."""
+    key = F.col("doc_id")
+    block = F.lit("\n[[TEXT_BLOCK id=B9 state=truncated]]\n[TRONQUE]\n[[/TEXT_BLOCK]]")
+    audits = corpora.audit_pages(spark, sf).select("doc_id", F.concat(F.replace("audit", F.lit("2=DESIGNATION"), F.lit("2=DESIGNA[TRONQUE]")), block).alias("audit"))
+    named = F.replace("markdown", F.lit("| DESIGNATION |"), F.when(key % 3 == 0, "| DESIGNA |").otherwise("| DESIGNA[TRONQUÉ] |"))
+    pages = corpora.invoice_pages(spark, sf).select("doc_id", "page", F.concat(named, F.when(key % 5 == 0, "").otherwise("\n\n[TRONQUÉ]")).alias("markdown"))
+    return findings.page_findings(pages.join(audits, "doc_id"), ("cross",), audit="audit").select("doc_id", "rule", "line_no", "col_no")
+
+
 def _table_of(*rows: str) -> str:
     return "".join(f"[[VISUAL_ROW id=R{i} kind={'header' if i == 0 else 'data'} groups=9]]\n" + "".join(f"{k}={c}\n" for k, c in enumerate(r.split("|"), 1)) + "[[/VISUAL_ROW]]\n" for i, r in enumerate(rows))
 
@@ -621,6 +658,31 @@ def retry_policy(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", r["retry"].alias("retry"), r["delay"].alias("delay"))
 
 
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(event_id % 50 AS DOUBLE) WHEN 1 THEN CAST(user_id AS DOUBLE) WHEN 2 THEN 0.0 END AS wait FROM events""")
+def retry_after_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Waits that a server asks for: seconds, a date after or before the event, or nothing that can be read."""
+    now, e = F.date_trunc("second", "ts"), F.col("event_id") % 4
+    at = lambda seconds: F.concat(F.date_format(now + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    header = F.when(e == 0, (F.col("event_id") % 50).cast("string")).when(e == 1, at(F.col("user_id").cast("decimal(18,6)"))).when(e == 2, at(F.lit(-90).cast("decimal(18,6)"))).otherwise(F.col("event_type"))
+    return table(spark, sf, "events").select("event_id", transport.retry_after_seconds(header, now).alias("wait"))
+
+
+@query("""SELECT page_id, html AS prompt, CASE WHEN contains(html, '<table') THEN 9 ELSE 13 END AS n_parts, url AS last_image FROM pages""")
+def page_request_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """A chat request for each page: its source as the prompt, then a label and an image for each view."""
+    views = F.transform(transport.page_views(F.when(F.contains("html", F.lit("<table")), "audit").otherwise("markdown")), lambda v: F.struct(v["label"].alias("label"), F.col("url").alias("data_url")))
+    sent = table(spark, sf, "pages").select("page_id", transport.request_messages(F.col("html"), views).alias("m"))
+    parts = F.from_json("m", "array<struct<role:string,content:array<struct<type:string,text:string,image_url:struct<url:string>>>>>")[0]["content"]
+    return sent.withColumn("p", parts).select("page_id", F.col("p")[0]["text"].alias("prompt"), F.size("p").alias("n_parts"), F.element_at("p", -1)["image_url"]["url"].alias("last_image"))
+
+
+@query("""SELECT conv_id, count(*) > 4 AS cached FROM conversations GROUP BY 1""")
+def prompt_cache_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """A document's prompt is cached if it has more pages than there are workers."""
+    sizes = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+    return sizes.select("conv_id", transport.use_prompt_cache(F.col("n"), 4).alias("cached"))
+
+
 class PlantedFailures:
     """A client that fails by key and attempt, and else gives the request back."""
 

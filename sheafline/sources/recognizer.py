@@ -92,7 +92,8 @@ def read_then_write(requests: DataFrame, reader: Callable[[], Recognizer], write
     second = first.withColumn("request", ask(F.col("page"), F.col("text")))
     kept = "doc_id long, page int, text string, text_usage string, too_short boolean"
     done = second.mapInPandas(write, f"{kept}, answer string, markdown_usage string")
-    return done.select("doc_id", "page", "text", "text_usage", "too_short", F.when(~F.col("too_short"), tidy_markdown("answer")).alias("markdown"), "markdown_usage")
+    done = tidy_markdown(done, "answer")
+    return done.select("doc_id", "page", "text", "text_usage", "too_short", F.when(~F.col("too_short"), F.col("answer")).alias("markdown"), "markdown_usage")
 
 
 #: What became of a request: answered; failed for good; a failure that concerns all requests; not asked (any more) because of one.
