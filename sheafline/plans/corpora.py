@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from sheafline.session import table
 
+#: Scan splits of a large table whose rows one task of a deal may take: an eighth.
+DEALT_BY_SPLIT = 8
 HEADER = ["REF", "DESIGNATION", "QTE", "P.U. NET HT", "MONTANT HT"]
 
 
@@ -27,8 +29,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     items = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.col("p_name").alias("name"), unit_price().alias("unit"))
-    # dealt by the session's number of partitions: what follows is bound by CPU, so small tables must not be merged into a task or two
-    items = items.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    # dealt by the session's number of partitions: what follows is bound by CPU, so small tables must not be merged into a task or two;
+    # by more of them where the table has many splits, so that no task's share grows with it
+    splits = table(spark, sf_dir, "lineitem").rdd.getNumPartitions()
+    items = items.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), DEALT_BY_SPLIT * splits), "l_orderkey")
     return items.groupBy(F.col("l_orderkey").alias("order_key")).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
@@ -38,11 +42,21 @@ def _row(cells: Column) -> Column:
 
 def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page, markdown): one page for each order with lines: a line-item table and a totals table."""
+    return order_lines(spark, sf_dir).select(F.col("order_key").alias("doc_id"), F.lit(1).alias("page"), _invoice().alias("markdown"))
+
+
+def invoice_and_audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, page, markdown, audit): both readings of each order, written side by side from the same lines, so that no join has to bring them together."""
+    return order_lines(spark, sf_dir).select(F.col("order_key").alias("doc_id"), F.lit(1).alias("page"), _invoice().alias("markdown"), _audit().alias("audit"))
+
+
+def _invoice() -> Column:
+    """The Markdown of an order's lines."""
     rows = F.transform("items", lambda x: _row(F.array(x["l_partkey"].cast("string"), x["name"], x["l_quantity"].cast("int").cast("string"), comma(x["unit"]), comma(x["l_extendedprice"]))))
     total = F.aggregate("items", F.lit(0).cast("decimal(18,2)"), lambda a, x: (a + x["l_extendedprice"].cast("decimal(18,2)")).cast("decimal(18,2)"))
     head = F.array(F.lit("<!-- PAGE 1 -->"), F.lit(""), F.lit("## Tableau des Lignes de Facturation"), F.lit("| " + " | ".join(HEADER) + " |"), F.lit("|" + " --- |" * len(HEADER)))
     tail = F.array(F.lit(""), F.lit("## Totaux"), F.lit("| LIBELLE | MONTANT |"), F.lit("| --- | --- |"), F.concat(F.lit("| TOTAL HT | "), comma(total), F.lit(" |")))
-    return order_lines(spark, sf_dir).select(F.col("order_key").alias("doc_id"), F.lit(1).alias("page"), F.array_join(F.concat(head, rows, tail), "\n").alias("markdown"))
+    return F.array_join(F.concat(head, rows, tail), "\n")
 
 
 def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +65,11 @@ def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     By key: wrong groups= where doc_id % 5 = 0, a missing table end where % 7 = 0, partial coverage where
     % 11 = 0, a flag where % 13 = 0, index gaps where % 17 = 0.
     """
+    return order_lines(spark, sf_dir).select(F.col("order_key").alias("doc_id"), F.lit(1).alias("page"), _audit().alias("audit"))
+
+
+def _audit() -> Column:
+    """The transcript of an order's lines."""
     key = F.col("order_key")
 
     def one(x: Column, i: Column) -> Column:
@@ -69,7 +88,7 @@ def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.concat(F.lit("[[END_OCR_AUDIT coverage="), F.when(key % 11 == 0, "partial").otherwise("complete"), F.lit("]]"))),
     )
     body = F.flatten(F.transform("items", one))
-    return order_lines(spark, sf_dir).select(key.alias("doc_id"), F.lit(1).alias("page"), F.array_join(F.concat(head, body, tail), "\n").alias("audit"))
+    return F.array_join(F.concat(head, body, tail), "\n")
 
 
 def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:

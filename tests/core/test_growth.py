@@ -65,3 +65,32 @@ def test_texts_without_placeholders_keep_their_lines(spark):
 
     r = spark.range(1).select(tables.renumber_unnamed(F.lit("| A |\r\n|---|\n| 1 |\n")).alias("a"), tables.renumber_unnamed(F.lit("| [sans_entete_3] |\n|---|")).alias("b")).first()
     assert (r.a.value, r.a.changed, r.b.value, r.b.changed) == ("| A |\n|---|\n| 1 |", 0, "| [SANS_ENTETE_1] |\n|---|", 1)
+
+
+def test_cut_headers_read_both_readings_from_one_deal_of_the_lines(spark):
+    plan = queries.cut_headers_and_blocks(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 1  # lines with their parts, dealt once: no texts are joined
+
+
+def test_lines_of_tables_with_many_splits_are_dealt_over_more_tasks(spark):
+    from sheafline.plans import corpora
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        plan = corpora.order_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert int(plan.split("RepartitionByExpression [")[1].split("], ")[1].split("\n")[0]) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_short_cuts_of_page_rules_find_the_same():
+    import re
+
+    texts = ["REMİSE 3", "ſOLDE", "omr", "from", "a|eco contribution|b", "TOTAL\nHT", "Konsigne", "écoparticipation", "ÉCO-CONTRIBUTION", "", "xyz"]
+    for pattern in (findings.CONTRIBUTION, findings.PAIR_LABEL, findings.BANK_LINE, findings.STACK):
+        assert [bool(u.caseless(pattern)(u.folded(x))) for x in texts] == [bool(pattern.search(x)) for x in texts]
+    audit = "[[VISUAL_TABLEX]][[visual_table a]]1[[VISUAL_TABLE b]2[[/VISUAL_table]][[VISUAL_TABLE\nc]]3[[/VISUAL_TABLE]][[VISUAL_TABLE]]4"
+    assert pages.blocks(audit, "VISUAL_TABLE") == re.findall(r"(?is)\[\[VISUAL_TABLE\b([^\]]*)\]\](.*?)\[\[/VISUAL_TABLE\]\]", audit)
+    assert pages.indexed("2=b\n 1= a \n\n x=1\n10=c\n1=d") == ["a", "d", "b", "c"]
+    assert u.plain_cells(["a  b", "c"]) == ["a b", "c"] and u.plain_cells(["*a*", "<br/>b"]) == ["a", "b"] and u.plain_cells(["a b"]) == ["a b"]
