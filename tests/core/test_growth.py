@@ -94,3 +94,29 @@ def test_short_cuts_of_page_rules_find_the_same():
     assert pages.blocks(audit, "VISUAL_TABLE") == re.findall(r"(?is)\[\[VISUAL_TABLE\b([^\]]*)\]\](.*?)\[\[/VISUAL_TABLE\]\]", audit)
     assert pages.indexed("2=b\n 1= a \n\n x=1\n10=c\n1=d") == ["a", "d", "b", "c"]
     assert u.plain_cells(["a  b", "c"]) == ["a b", "c"] and u.plain_cells(["*a*", "<br/>b"]) == ["a", "b"] and u.plain_cells(["a b"]) == ["a b"]
+
+
+def python_steps(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+
+
+def test_documents_are_validated_in_one_pass(spark):
+    plan = queries.validated_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") <= 1 and plan.count("Join") == 1  # lines with their parts; the checks join nothing
+
+
+def test_tables_and_transcripts_are_parsed_by_the_page_parser(spark):
+    sf = "/root/testdata/sf0.001"
+    assert [python_steps(queries.QUERIES[n](spark, sf)) for n in ("invoice_roundtrip_cells", "arithmetic_fit_by_order", "table_cells", "table_width_check", "audit_table_rows")] == [1] * 5
+
+
+def test_declared_grids_read_cells_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(findings, "contributes", lambda cells: asked.append(cells))
+    md = "\n".join(["| DESIGNATION | QTE | MONTANT |", "|---|---|---|", *[f"| Eco-contribution {i} | 1 | 2 |" for i in range(20)]])
+    assert [f.rule for f in findings.commitments(pages.Page(md))][-2:] == ["special_row_map_absent", "special_row_geometry_evidence_absent"] and not asked
+
+
+def test_structure_of_odd_pages():
+    md = "<!-- PAGE 1 -->\n| a | b |\n|---|\n| 1 |\n| \\| | 2 |\n|\n\n|---|---|\n|:---|\n<!-- PAGE 3 -->"
+    assert pages.Page(md).structure(2) == ([1, 3], False, [2, 4, 6, 8]) and pages.Page("").structure(None) == ([], True, [])
