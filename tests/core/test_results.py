@@ -42,3 +42,24 @@ def test_nested_content(spark):
     assert [r[0] for r in rows.orderBy("i").select(json_text("v")).collect()] == ["deep", "deep", "aé\n\nb", "", "", "", ""]
     assert deep_json(' {"a": [1, {"b": null}], "c": "x,]"} ') == {"a": [1, {"b": None}], "c": "x,]"}
     assert alike("abcd", "abcf", 0.7) and not alike("abcd", "wxyz", 0.1)
+
+
+def test_composed_queries_read_both_texts_from_one_deal_in_one_python_step(spark):
+    from sheafline import queries
+
+    for name in ("composed_page_quality", "composed_page_findings"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 1, name  # lines with their parts, dealt once
+
+
+def test_only_what_is_asked_of_composed_pages_is_made(spark):
+    audit = "```\r\n[[OCR_AUDIT_PAGE page=1]]\r\n[[VISUAL_ROW id=R groups=3]]\r\n2=a\r\n[[/VISUAL_ROW]]\r\n[[END_OCR_AUDIT coverage=complete]]\r\n```"
+    md = "```\n<!-- PAGE 7 -->\n<!-- GRID_MAP tracks=1 -->\n| [SANS_ENTETE_5] | A |\n|---|---|\n| x | y |\n\n## Vide\n\n## Fin\n```"
+    pages = spark.createDataFrame([(1, 3, md, audit, None, None), (2, None, md, None, None, None), (3, 1, None, "\x1f", None, None)], f"doc_id long, page int, raw_markdown string, raw_audit string, markdown_stats {STATS}, audit_stats {STATS}")
+    whole = results.composed_pages(pages).orderBy("doc_id").collect()
+    some = results.composed_pages(pages, columns=("findings", "status")).orderBy("doc_id").collect()
+    assert some[0].asDict().keys() == {"doc_id", "page", "findings", "status"} and [(r.findings, r.status) for r in some] == [(r.findings, r.status) for r in whole]
+    assert whole[0].markdown == "<!-- PAGE 3 -->\n\n| [SANS_ENTETE_1] | A |\n|---|---|\n| x | y |\n" and "groups=1]]\n1=a" in whole[0].audit
+    assert whole[0].markdown_sanitizations == {"outer_fence": 1, "grid_map_comments_removed": 1, "unnamed_headers_renumbered": 1, "empty_sections_removed": 2}
+    assert whole[0].audit_sanitizations == {"line_endings": 1, "outer_fence": 1, "visual_row_groups_fixed": 1, "visual_row_indices_renumbered": 1}
+    assert whole[1].markdown == "" and "no transcript" in whole[1].audit and results.NO_TRANSCRIPT in whole[2].quality.warnings and whole[2].stats.input_tokens == 0
