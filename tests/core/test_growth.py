@@ -120,3 +120,31 @@ def test_declared_grids_read_cells_once(monkeypatch):
 def test_structure_of_odd_pages():
     md = "<!-- PAGE 1 -->\n| a | b |\n|---|\n| 1 |\n| \\| | 2 |\n|\n\n|---|---|\n|:---|\n<!-- PAGE 3 -->"
     assert pages.Page(md).structure(2) == ([1, 3], False, [2, 4, 6, 8]) and pages.Page("").structure(None) == ([], True, [])
+
+
+def test_needles_are_in_all_that_their_patterns_find():
+    import itertools
+    import re
+
+    words = ["total", "ht", "tva", "ttc", "net", "a", "payer", "solde", "éco", "eco", "contribution", "participation", "redevance", "levy", "fee", "frais", "surcharge", "remise", "discount", "escompte", "port", "retenue", "arrondi", "octroi", "de", "mer", "régional", "om", "omr", "droits", "taxes", "acompte", "iban", "rib", "bic", "swift", "compte", "bancaire", "red", "REMİSE", "ſolde", "ESCOMPTE"]
+    held = {findings.IS_FEE: findings.CONTRIBUTION, findings.IS_PAIR: findings.PAIR_LABEL, findings.IS_SIMPLE_PAIR: findings.SIMPLE_PAIR, findings.IS_STACK: findings.STACK, findings.IS_LOOSE_STACK: findings.LOOSE_STACK, findings.IS_BANK: findings.BANK_LINE}
+    for some in itertools.chain(itertools.product(words, repeat=2), itertools.permutations(words[:9], 3)):
+        for text in (" ".join(some), "-".join(some)):
+            for needled, pattern in held.items():
+                assert needled(u.folded(text)) == bool(pattern.search(text)), (text, pattern.pattern)
+    assert u.all_plain("a|b c") and not any(map(u.all_plain, ("a  b", "*a", "a b", "<br>", "a`", "_a", "a\tb")))
+    assert not re.search("[<*_`]", "a|b c")
+
+
+def test_headers_are_searched_once(monkeypatch):
+    asked = []
+
+    class Counting:
+        def search(self, text):
+            asked.append(text)
+
+    pattern = Counting()
+    for _ in range(3):
+        table = pages.Page("| ONCE | TWICE |\n|---|---|\n| 1 | 2 |").tables[0]
+        assert table.column(pattern) is None and not table.headed(pattern)
+    assert asked == ["ONCE", "TWICE", "ONCE | TWICE"]
